@@ -23,6 +23,11 @@ from riskloom.schemas import (
 )
 
 
+# Rank error of approximate medians is 1 / accuracy. Each task sends a sketch of about
+# this many values per column, so a finer one costs more where there are many tasks.
+MEDIAN_ACCURACY = 200
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
@@ -122,7 +127,7 @@ def counts_and_medians(
     count_columns: Sequence[str],
     median_columns: Sequence[str],
     exact: bool = False,
-    accuracy: int = 10_000,
+    accuracy: int = MEDIAN_ACCURACY,
 ) -> tuple[int, dict[str, int], dict[str, float]]:
     """Rows, NULLs per column, and the median of the number columns that have NULLs.
 
@@ -154,6 +159,12 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     return {row["column_name"]: row["median"] for row in rows}
 
 
+def approx_medians(df: DataFrame, columns: Sequence[str], relative_error: float = 0.01) -> dict[str, float]:
+    """Approximate median per column that has values, in one pass for all columns."""
+    found = df.approxQuantile(list(columns), [0.5], relative_error)
+    return {c: values[0] for c, values in zip(columns, found) if values}
+
+
 def fill_values(df: DataFrame, values: Mapping[str, float], keep_type: bool = False) -> DataFrame:
     """Fill NULL numbers. A filled column becomes double unless ``keep_type``."""
     types = dict(df.dtypes)

@@ -30,7 +30,7 @@ def score_by_class(
     score: str = SCORE,
     by: Sequence[str] = (),
     exact: bool = False,
-    accuracy: int = 10_000,
+    accuracy: int = 1_000,
 ) -> DataFrame:
     """Row count, mean and quartiles of the score per actual class.
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.operators.cleaning import (
+    MEDIAN_ACCURACY,
     clean_gender_column,
     counts_and_medians,
     create_target_variable,
@@ -56,7 +57,7 @@ def learn_preparation(
     threshold: float = MISSING_THRESHOLD,
     protect: Collection[str] = (),
     exact_median: bool = False,
-    accuracy: int = 10_000,
+    accuracy: int = MEDIAN_ACCURACY,
 ) -> Preparation:
     """NULL counts of all columns and medians of the number columns, in a single pass.
 

@@ -49,6 +49,12 @@ def save_test_predictions(predictions: DataFrame, output_path: str) -> None:
     save_predictions(predictions, output_path, TEST_PREDICTION_COLUMNS, strict=True)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame and read it back: one computation, whatever follows, and a short lineage."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_scored_batch(model: PipelineModel, batch: DataFrame, output_path: str) -> None:
     """Score one batch and add it to the prediction table."""
     from riskloom.operators.scoring import make_predictions

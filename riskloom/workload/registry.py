@@ -27,13 +27,14 @@ from riskloom.session import scratch_path
 from riskloom.sources.encounters_csv import load_data, load_report
 from riskloom.sources.lookups import ENCOUNTER_LOOKUPS, lookup_frame
 from riskloom.sources.sample_tables import (
+    ENCOUNTER_COLUMNS,
     encounters,
     model_scores,
     prior_kinds,
     read_table,
     visits,
 )
-from riskloom.sources.sinks import load_model, save_comparison_results, save_model, save_predictions
+from riskloom.sources.sinks import load_model, save_comparison_results, save_model, save_predictions, written
 from riskloom.streaming import high_risk_by_window, read_stream, score_stream, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,11 @@ def register(fn: Query) -> Query:
     return fn
 
 
+def encounter_table(spark: SparkSession, sf_dir: str, columns=ENCOUNTER_COLUMNS) -> DataFrame:
+    """Encounters written once, for queries that look at them more than once."""
+    return written(encounters(spark, sf_dir, columns), scratch_path(spark, "encounters"))
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
@@ -127,13 +133,13 @@ def fill_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def fill_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.fill_medians(encounters(spark, sf_dir, [ROW_KEY, *MEDIAN_FILL_COLUMNS]), exact=True)
+    return cleaning.fill_medians(encounter_table(spark, sf_dir, [ROW_KEY, *MEDIAN_FILL_COLUMNS]), exact=True)
 
 
 @register
 def approx_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = encounters(spark, sf_dir, MEDIAN_FILL_COLUMNS)
-    return df.agg(*[F.percentile_approx(c, 0.5, 10_000).alias(c) for c in MEDIAN_FILL_COLUMNS])
+    medians = cleaning.approx_medians(encounters(spark, sf_dir, MEDIAN_FILL_COLUMNS), MEDIAN_FILL_COLUMNS)
+    return spark.createDataFrame(list(medians.items()), "column_name string, approx_median double")
 
 
 @register
@@ -197,7 +203,12 @@ def lab_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_encounters(encounters(spark, sf_dir), exact_median=True)
+    return prepare_encounters(encounter_table(spark, sf_dir), exact_median=True)
+
+
+def _prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared rows as a table, as fits pass over them several times."""
+    return written(_prepared(spark, sf_dir), scratch_path(spark, "prepared"))
 
 
 @register
@@ -268,7 +279,7 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def sample_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _labelled(spark, sf_dir, ROW_KEY)
+    df = written(_labelled(spark, sf_dir, ROW_KEY), scratch_path(spark, "labelled"))
     weighted = split.add_sample_weights(df, *split.calculate_class_weights(df))
     return rounded(weighted.select(ROW_KEY, LABEL, "sample_weight"), "sample_weight")
 
@@ -452,20 +463,20 @@ def _encoder(prepared: DataFrame) -> PipelineModel:
 
 @register
 def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.category_index(_encoder(_prepared(spark, sf_dir)), spark)
+    return training.category_index(_encoder(_prepared_table(spark, sf_dir)), spark)
 
 
 @register
 def encode_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every non-zero slot of the encoded and scaled feature vectors, by name."""
-    prepared = _prepared(spark, sf_dir)
+    prepared = _prepared_table(spark, sf_dir)
     encoder = _encoder(prepared)
     slots = training.feature_slots(encoder.transform(prepared), training.slot_names(encoder, prepared), ROW_KEY)
     return rounded(slots, "value")
 
 
 def _trained(spark: SparkSession, sf_dir: str, name: str):
-    prepared = prepare_encounters(encounters(spark, sf_dir))
+    prepared = written(prepare_encounters(encounter_table(spark, sf_dir)), scratch_path(spark, "prepared"))
     spec = ENCOUNTER_FEATURES
     train, test = split.prepare_train_test_split(prepared)
     results, _ = training.train_all_models(
@@ -510,8 +521,7 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_path, model_path, out, checkpoint = (
         scratch_path(spark, f"stream-{part}") for part in ("raw", "model", "out", "checkpoint")
     )
-    encounters(spark, sf_dir).write.parquet(raw_path)
-    raw = spark.read.parquet(raw_path)
+    raw = written(encounters(spark, sf_dir), raw_path)
     train, _ = split.prepare_train_test_split(raw)
     spec = ENCOUNTER_FEATURES
     stages = [

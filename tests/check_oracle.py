@@ -22,6 +22,12 @@ def connect(sf_dir):
     return con
 
 
+SAME_TYPE = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value + 0.0)
@@ -37,10 +43,14 @@ def compare(con, df, sql):
     """None if equal, else what differs."""
     result = con.execute(sql)
     wanted_columns = [d[0] for d in result.description]
+    types = {d[0]: str(d[1]) for d in result.description}
     wanted = _rows(wanted_columns, result.fetchall())
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
     if sorted(df.columns) != sorted(wanted_columns):
         return f"columns {sorted(df.columns)} instead of {sorted(wanted_columns)}"
+    other = [(c, t, types[c]) for c, t in df.dtypes if SAME_TYPE.get(t) != types[c]]
+    if other:
+        return f"types differ: {other}"
     if len(got) != len(wanted):
         return f"{len(got)} rows instead of {len(wanted)}"
     different = [(g, w) for g, w in zip(got, wanted) if g != w]
