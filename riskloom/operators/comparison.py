@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.confusion import calculate_confusion_matrix
 from riskloom.operators.curves import evaluation_table
 from riskloom.schemas import COMPARISON_SCHEMA, LABEL, RETRAIN_BELOW_AUC, SCORE, SELECTION_METRICS
+from riskloom.session import local_frame
 
 
 @dataclass(frozen=True)
@@ -98,9 +99,7 @@ def evaluate_model(
 
 def comparison_frame(spark: SparkSession, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
     """Comparison rows held on the driver as a DataFrame; an unknown metric is None."""
-    return spark.createDataFrame(
-        [Row(**{f.name: row.get(f.name) for f in COMPARISON_SCHEMA}) for row in rows], COMPARISON_SCHEMA
-    )
+    return local_frame(spark, rows, COMPARISON_SCHEMA)
 
 
 def compare_models(

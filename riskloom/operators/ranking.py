@@ -53,7 +53,8 @@ def running_totals(
     Each range starts with a carry row holding the totals of the ranges before it,
     so the window needs no join with them.
     """
-    bounded = [-float("inf"), *[c for c in cuts if abs(c) != float("inf")], float("inf")]
+    finite = [c for c in cuts if abs(c) != float("inf")] or [0.0]
+    bounded = [-float("inf"), *finite, float("inf")]
     ranged = Bucketizer(splits=bounded, inputCol="_order", outputCol="_cut", handleInvalid="keep").transform(
         df.withColumn("_order", F.col(order).cast("double"))
     )

@@ -12,12 +12,13 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.comparison import ModelResult
 from riskloom.operators.scoring import make_predictions
 from riskloom.operators.split import add_sample_weights, calculate_class_weights
 from riskloom.schemas import ENTITY_KEY, LABEL, ROW_KEY, SPLIT_SEED, FeatureSpec
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import ensure_checkpoint_dir, local_frame
 
 UNSCALED, FEATURES, WEIGHT = "features_unscaled", "features", "sample_weight"
 
@@ -149,7 +150,8 @@ def feature_importance(
     spark: SparkSession, names: Sequence[str], values: Sequence[float], n: int | None = 15
 ) -> DataFrame:
     """Features by falling importance, the first ``n`` of them (all for None)."""
-    table = spark.createDataFrame(list(zip(names, map(float, values))), "feature string, importance double")
+    schema = T.StructType().add("feature", T.StringType()).add("importance", T.DoubleType())
+    table = local_frame(spark, [{"feature": f, "importance": float(v)} for f, v in zip(names, values)], schema)
     ordered = table.orderBy(F.desc("importance"), F.asc("feature"))
     return ordered if n is None else ordered.limit(n)
 
@@ -166,8 +168,9 @@ def category_index(encoder: PipelineModel, spark: SparkSession) -> DataFrame:
     for stage in encoder.stages:
         if hasattr(stage, "labelsArray"):
             for column, labels in zip(stage.getInputCols(), stage.labelsArray):
-                rows += [(column, value, i) for i, value in enumerate(labels)]
-    return spark.createDataFrame(rows, "column_name string, value string, idx int")
+                rows += [{"column_name": column, "value": value, "idx": i} for i, value in enumerate(labels)]
+    schema = T.StructType().add("column_name", T.StringType()).add("value", T.StringType()).add("idx", T.IntegerType())
+    return local_frame(spark, rows, schema)
 
 
 def feature_slots(encoded: DataFrame, names: Sequence[str], key: str, vector: str = FEATURES) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.functions import positive_probability
-from riskloom.operators.comparison import ModelResult, compare_models, select_best_model
+from riskloom.operators.comparison import ModelResult, comparison_frame, comparison_table, select_best_model, stack_predictions
 from riskloom.operators.confusion import analyze_confusion_matrix, threshold_sweep
 from riskloom.operators.distribution import score_by_class, score_description
 from riskloom.operators.split import validate_data_leakage_prevention
@@ -20,16 +21,22 @@ def with_score(predictions: DataFrame, score: str = SCORE) -> DataFrame:
     return predictions if score in predictions.columns else predictions.withColumn(score, positive_probability())
 
 
-def _materialised(comparison: DataFrame, spark: SparkSession) -> DataFrame:
-    """The comparison, one row per model, held as values: later reads do not score again."""
-    return spark.createDataFrame(comparison.collect(), comparison.schema)
-
-
 def evaluate_and_compare(
     results: Mapping[str, ModelResult], spark: SparkSession, selection_metric: str = "AUC_ROC"
 ) -> tuple[str, Any, DataFrame, DataFrame]:
-    """Best model's name, model and predictions, and the comparison of all."""
-    comparison = _materialised(compare_models(results, spark), spark)
+    """Best model's name, model and predictions, and the comparison of all.
+
+    Label, prediction and score of every row are kept on the executors while the
+    models are measured, so that rows are scored once. The comparison, one row per
+    model, is held as values.
+    """
+    narrow = stack_predictions(
+        {name: with_score(result.predictions) for name, result in results.items()}
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        comparison = comparison_frame(spark, [row.asDict() for row in comparison_table(narrow).collect()])
+    finally:
+        narrow.unpersist()
     return (*select_best_model(comparison, results, selection_metric), comparison)
 
 

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def build_session(app_name: str = "riskloom", master: str | None = None, **conf: object) -> SparkSession:
@@ -53,3 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` and the tree learners' checkpoints usable."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def local_frame(spark: SparkSession, rows: Sequence[Mapping[str, Any]], schema: T.StructType) -> DataFrame:
+    """A few rows held on the driver (a report) as a DataFrame; absent fields are NULL.
+
+    Arrow makes a local relation of them, which needs no Python worker to read.
+    """
+    return spark.createDataFrame(pa.Table.from_pylist(list(rows), schema=to_arrow_schema(schema)), schema)

@@ -50,9 +50,17 @@ def save_test_predictions(predictions: DataFrame, output_path: str) -> None:
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
-    """Write a frame and read it back: one computation, whatever follows, and a short lineage."""
+    """Write a frame and read it back: one computation, whatever follows, and a short lineage.
+
+    A table too small to give every core a split is spread over the cores when
+    read, since what follows (fits, evaluation) passes over it many times. A table
+    with more splits than cores is read as it is.
+    """
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    table = spark.read.schema(df.schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def append_scored_batch(model: PipelineModel, batch: DataFrame, output_path: str) -> None:

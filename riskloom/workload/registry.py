@@ -23,7 +23,7 @@ from riskloom.schemas import (
     ROW_KEY,
     SCORE,
 )
-from riskloom.session import scratch_path
+from riskloom.session import local_frame, scratch_path
 from riskloom.sources.encounters_csv import load_data, load_report
 from riskloom.sources.lookups import ENCOUNTER_LOOKUPS, lookup_frame
 from riskloom.sources.sample_tables import (
@@ -139,7 +139,8 @@ def fill_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def approx_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     medians = cleaning.approx_medians(encounters(spark, sf_dir, MEDIAN_FILL_COLUMNS), MEDIAN_FILL_COLUMNS)
-    return spark.createDataFrame(list(medians.items()), "column_name string, approx_median double")
+    schema = T.StructType().add("column_name", T.StringType()).add("approx_median", T.DoubleType())
+    return local_frame(spark, [{"column_name": c, "approx_median": v} for c, v in medians.items()], schema)
 
 
 @register
