@@ -27,6 +27,9 @@ from riskloom.schemas import (
 # this many values per column, so a finer one costs more where there are many tasks.
 MEDIAN_ACCURACY = 200
 
+# Up to so many distinct values per column are ranked in one task.
+FEW_VALUES = 100_000
+
 
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
@@ -136,26 +139,35 @@ def counts_and_medians(
     interpolate between the two middle values and are ranked in a second step. A
     column without any value has no median.
     """
-    approx = [] if exact else [
-        F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(f"_m_{c}") for c in median_columns
+    per_median = [
+        (F.approx_count_distinct(c) if exact else F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy))
+        .alias(f"_m_{c}")
+        for c in median_columns
     ]
     columns = list(dict.fromkeys([*count_columns, *median_columns]))
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_c_{c}") for c in columns], *approx).first()
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_c_{c}") for c in columns], *per_median).first()
     nulls = {c: row["_rows"] - row[f"_c_{c}"] for c in columns}
     open_columns = [c for c in median_columns if nulls[c]]
     if exact:
-        medians = exact_medians(df, open_columns) if open_columns else {}
+        few = all(row[f"_m_{c}"] <= FEW_VALUES for c in open_columns)
+        medians = exact_medians(df, open_columns, [] if few else None) if open_columns else {}
     else:
         medians = {c: row[f"_m_{c}"] for c in open_columns}
     return row["_rows"], nulls, {c: v for c, v in medians.items() if v is not None}
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Exact median per column; all columns are ranked together."""
+def exact_medians(
+    df: DataFrame, columns: Sequence[str], cuts: Sequence[float] | None = None
+) -> dict[str, float]:
+    """Exact median per column; all columns are ranked together.
+
+    Pass no cuts (``[]``) where columns are known to have few distinct values: this
+    saves the pass that looks for cut points.
+    """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column_name", "value"
     )
-    rows = exact_quantiles(long, ["column_name"], "value", {"median": 0.5}).collect()
+    rows = exact_quantiles(long, ["column_name"], "value", {"median": 0.5}, cuts).collect()
     return {row["column_name"]: row["median"] for row in rows}
 
 

@@ -61,8 +61,11 @@ def distinct_entities(df: DataFrame, key: str = ENTITY_KEY) -> DataFrame:
 
 
 def keep_entities(df: DataFrame, entities: DataFrame, key: str = ENTITY_KEY) -> DataFrame:
-    """Rows whose entity is in the given set."""
-    return df.join(entities.select(key), key, "left_semi")
+    """Rows whose entity is in the given set.
+
+    The set is made distinct first, so that an entity with many rows counts once.
+    """
+    return df.join(distinct_entities(entities, key), key, "left_semi")
 
 
 def split_report(df: DataFrame, key: str = ENTITY_KEY, part: Column | None = None) -> DataFrame:

@@ -485,7 +485,29 @@ ORACLES["category_index"] = f"WITH {_PREPARED} " + " UNION ALL ".join(
     for c in ENCOUNTER_FEATURES.categorical
 )
 
+# --- models: which rows are scored, and what must hold for every one of them ---
+_TEST_ROWS = f"""{_CLEANED},
+test_rows AS (SELECT encounter_id, readmit_30 FROM cleaned WHERE {_PART} = 'test')"""
+_from_encounters(
+    "saved_model_check",
+    "encounter_id, readmit_30, true AS same_after_loading, true AS is_probability, true AS agrees_with_class",
+    "", "test_rows", _TEST_ROWS,
+)
+_from_encounters("scored_batches", "encounter_id, CAST(1 AS BIGINT) AS n", "", "test_rows", _TEST_ROWS)
+ORACLES["full_run"] = f"WITH {_TEST_ROWS} " + " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{model}' AS model, count(*) AS n_rows, "
+    "CAST(sum(readmit_30) AS BIGINT) AS n_positive FROM test_rows"
+    for table, model in (
+        ("model_comparison", "Logistic Regression"),
+        ("model_comparison", "Random Forest"),
+        ("model_comparison", "Gradient Boosted Trees"),
+        ("test_predictions", "best"),
+        ("new_predictions", "best"),
+    )
+)
+
 # --- streams ---
+_from_encounters("stream_matches_batch", "encounter_id, true AS same_as_batch", "", "cleaned", _CLEANED)
 ORACLES["stream_high_risk"] = """
 SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
        count(*) AS n_rows, count(*) FILTER (WHERE value / (value + 35.0::DOUBLE) >= 0.5) AS high_risk

@@ -14,7 +14,9 @@ from riskloom.operators import cleaning, comparison, confusion, curves, distribu
 from riskloom.operators import scoring, split, training
 from riskloom.plans.evaluation import evaluate_and_compare
 from riskloom.plans.preparation import prepare_encounters
+from riskloom.plans.scoring import predict_pipeline
 from riskloom.plans.stages import EncounterPreparer
+from riskloom.plans.training_run import train_and_select
 from riskloom.schemas import (
     ADMISSION_TYPE_GROUPS,
     ENCOUNTER_FEATURES,
@@ -34,7 +36,7 @@ from riskloom.sources.sample_tables import (
     read_table,
     visits,
 )
-from riskloom.sources.sinks import load_model, save_comparison_results, save_model, save_predictions, written
+from riskloom.sources.sinks import append_scored_batch, load_model, save_comparison_results, save_model, save_predictions, written
 from riskloom.streaming import high_risk_by_window, read_stream, score_stream, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -513,11 +515,59 @@ def score_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.make_predictions(load_model(spark, path), test).select(ROW_KEY, "prediction", SCORE)
 
 
-# --- streams -------------------------------------------------------------------------
+@register
+def saved_model_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per test row: the score survives saving and loading, is a probability, and agrees with the class."""
+    results, test = _trained(spark, sf_dir, "Logistic Regression")
+    path = scratch_path(spark, "model")
+    before = results["Logistic Regression"].predictions.select(ROW_KEY, F.col(SCORE).alias("before"))
+    save_model(results["Logistic Regression"].model, path)
+    after = scoring.make_predictions(load_model(spark, path), test)
+    return after.join(before, ROW_KEY).select(
+        ROW_KEY,
+        LABEL,
+        (F.col(SCORE) == F.col("before")).alias("same_after_loading"),
+        F.col(SCORE).between(0.0, 1.0).alias("is_probability"),
+        ((F.col(SCORE) > 0.5) == (F.col("prediction") == 1.0)).alias("agrees_with_class"),
+    )
 
 
 @register
-def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test part scored in two batches appended to one table; which rows arrived, and how often."""
+    results, test = _trained(spark, sf_dir, "Logistic Regression")
+    path = scratch_path(spark, "batches")
+    for half in (0, 1):
+        append_scored_batch(results["Logistic Regression"].model, test.filter(F.col(ROW_KEY) % 2 == half), path)
+    return spark.read.parquet(path).groupBy(ROW_KEY).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepare, split, train all three, compare, save and score; how many rows each table holds."""
+    out = scratch_path(spark, "run")
+    run = train_and_select(encounter_table(spark, sf_dir), out, models=_QUICK)
+    predict_pipeline(spark, run["model_path"], run["test"], f"{out}/predictions/new_predictions")
+    compared = run["comparison_df"].select(
+        F.lit("model_comparison").alias("table_name"),
+        F.col("Model").alias("model"),
+        (F.col("True_Positives") + F.col("True_Negatives") + F.col("False_Positives") + F.col("False_Negatives")).alias("n_rows"),
+        (F.col("True_Positives") + F.col("False_Negatives")).alias("n_positive"),
+    )
+    tables = {name: spark.read.parquet(f"{out}/predictions/{name}") for name in ("test_predictions", "new_predictions")}
+    for name, table in tables.items():
+        compared = compared.unionByName(
+            table.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(LABEL).alias("n_positive")).select(
+                F.lit(name).alias("table_name"), F.lit("best").alias("model"), "n_rows", "n_positive"
+            )
+        )
+    return compared
+
+
+# --- streams -------------------------------------------------------------------------
+
+
+def _stream_scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineModel, DataFrame]:
     """Raw encounters scored as a stream by one saved pipeline that also prepares them."""
     raw_path, model_path, out, checkpoint = (
         scratch_path(spark, f"stream-{part}") for part in ("raw", "model", "out", "checkpoint")
@@ -531,10 +581,25 @@ def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         training.make_classifier("Logistic Regression", weight=None, maxIter=10),
     ]
     save_model(Pipeline(stages=stages).fit(train), model_path)
+    model = load_model(spark, model_path)
     stream = read_stream(spark, raw_path, raw.schema)
-    scored = score_stream(load_model(spark, model_path), stream).select(ROW_KEY, "prediction", SCORE)
+    scored = score_stream(model, stream).select(ROW_KEY, "prediction", SCORE)
     write_stream(scored, out, checkpoint).awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out), model, raw
+
+
+@register
+def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_scored(spark, sf_dir)[0]
+
+
+@register
+def stream_matches_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows scored as a stream, and whether scoring them as a batch gives the same."""
+    streamed, model, raw = _stream_scored(spark, sf_dir)
+    batch = scoring.make_predictions(model, raw).select(ROW_KEY, F.col(SCORE).alias("_batch"))
+    both = streamed.join(batch, ROW_KEY, "full")
+    return both.select(ROW_KEY, F.coalesce(F.col(SCORE) == F.col("_batch"), F.lit(False)).alias("same_as_batch"))
 
 
 @register
