@@ -7,15 +7,25 @@ drop decisions and medians.
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
+from typing import Any
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
+from riskloom.operators.comparison import ModelResult
+from riskloom.operators.training import train_all_models
 from riskloom.plans.preparation import FEATURE_INPUTS, Preparation, apply_preparation, clean_rows, learn_preparation
-from riskloom.schemas import EXCLUDED_DISCHARGES, MISSING_THRESHOLD, UNTESTED_VALUES
+from riskloom.schemas import (
+    ENCOUNTER_FEATURES,
+    EXCLUDED_DISCHARGES,
+    MISSING_THRESHOLD,
+    UNTESTED_VALUES,
+    FeatureSpec,
+)
 
 
 class _PreparationParams(Params):
@@ -71,3 +81,25 @@ class EncounterPreparerModel(Model, _PreparationParams, DefaultParamsReadable, D
         return apply_preparation(
             cleaned, self.preparation(), self.getOrDefault(self.keepType), self.getOrDefault(self.untestedValues)
         )
+
+
+def train_on_raw(
+    raw_train: DataFrame,
+    raw_test: DataFrame,
+    preparer: EncounterPreparer | None = None,
+    features: FeatureSpec = ENCOUNTER_FEATURES,
+    models: Mapping[str, Mapping[str, Any]] | None = None,
+) -> dict[str, ModelResult]:
+    """Train models whose pipelines take raw encounters.
+
+    Preparation learns from the training part only; classes are weighted as in
+    ``train_all_models``.
+    """
+    prepare = (preparer or EncounterPreparer()).fit(raw_train)
+    train, test = prepare.transform(raw_train), prepare.transform(raw_test)
+    spec = features.available(train.columns)
+    results, _ = train_all_models(train, test, spec.numeric, spec.binary, spec.categorical, models)
+    return {
+        name: ModelResult(PipelineModel(stages=[prepare, *result.model.stages]), result.predictions)
+        for name, result in results.items()
+    }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +15,7 @@ from riskloom.operators import scoring, split, training
 from riskloom.plans.evaluation import evaluate_and_compare
 from riskloom.plans.preparation import prepare_encounters
 from riskloom.plans.scoring import predict_pipeline
-from riskloom.plans.stages import EncounterPreparer
+from riskloom.plans.stages import train_on_raw
 from riskloom.plans.training_run import train_and_select
 from riskloom.schemas import (
     ADMISSION_TYPE_GROUPS,
@@ -573,14 +573,9 @@ def _stream_scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Pipelin
         scratch_path(spark, f"stream-{part}") for part in ("raw", "model", "out", "checkpoint")
     )
     raw = written(encounters(spark, sf_dir), raw_path)
-    train, _ = split.prepare_train_test_split(raw)
-    spec = ENCOUNTER_FEATURES
-    stages = [
-        EncounterPreparer(),
-        *training.create_feature_pipeline(spec.numeric, spec.binary, spec.categorical)[0].getStages(),
-        training.make_classifier("Logistic Regression", weight=None, maxIter=10),
-    ]
-    save_model(Pipeline(stages=stages).fit(train), model_path)
+    name = "Logistic Regression"
+    trained = train_on_raw(*split.prepare_train_test_split(raw), models={name: _QUICK[name]})
+    save_model(trained[name].model, model_path)
     model = load_model(spark, model_path)
     stream = read_stream(spark, raw_path, raw.schema)
     scored = score_stream(model, stream).select(ROW_KEY, "prediction", SCORE)

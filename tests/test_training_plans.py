@@ -7,7 +7,7 @@ from riskloom.operators import comparison, scoring, split, training
 from riskloom.plans import chart_tables, evaluation, training_run
 from riskloom.plans import scoring as scoring_plan
 from riskloom.plans.preparation import prepare_encounters
-from riskloom.plans.stages import EncounterPreparer, EncounterPreparerModel
+from riskloom.plans.stages import EncounterPreparer, EncounterPreparerModel, train_on_raw
 from riskloom.schemas import ENCOUNTER_FEATURES, LABEL, ROW_KEY, SCORE
 from riskloom.sources import (
     append_scored_batch,
@@ -185,13 +185,10 @@ def test_sinks(spark, tmp_path, run):
 
 @pytest.fixture(scope="module")
 def raw_model(spark, raw, tmp_path_factory):
-    train, _ = split.prepare_train_test_split(raw)
-    stages = [
-        EncounterPreparer(untestedValues=["None", "Unknown"]),
-        *training.create_feature_pipeline(SPEC.numeric, SPEC.binary, SPEC.categorical)[0].getStages(),
-        training.make_classifier("Logistic Regression", weight=None, maxIter=3),
-    ]
-    model = Pipeline(stages=stages).fit(train)
+    name = "Logistic Regression"
+    model = train_on_raw(
+        *split.prepare_train_test_split(raw), EncounterPreparer(untestedValues=["None", "Unknown"]), models={name: QUICK[name]}
+    )[name].model
     path = str(tmp_path_factory.mktemp("raw_model") / "m")
     save_model(model, path)
     return model, load_model(spark, path)
@@ -209,6 +206,11 @@ def test_one_pipeline_scores_raw_rows_after_reload(raw, raw_model):
     assert sorted(a.collect()) == sorted(b.collect()) and a.count() > 0
 
 
+def test_preparer_fits_inside_a_plain_pipeline(raw):
+    stages = [EncounterPreparer(), *training.create_feature_pipeline(SPEC.numeric, SPEC.binary, SPEC.categorical)[0].getStages()]
+    assert Pipeline(stages=stages).fit(raw).transform(raw).count() > 0
+
+
 def test_preparer_learns_from_what_it_is_fitted_on(raw):
     part = raw.filter("num_lab_procedures > 100 OR num_lab_procedures IS NULL")
     all_rows = EncounterPreparer().fit(raw).preparation().medians["num_lab_procedures"]
