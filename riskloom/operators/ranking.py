@@ -51,7 +51,9 @@ def running_totals(
     when ascending and last when descending, as in Spark.
 
     Each range starts with a carry row holding the totals of the ranges before it,
-    so the window needs no join with them.
+    so the window needs no join with them. Carry rows also fill the remaining
+    columns: both uses of ``df`` then need the same columns, and Spark computes and
+    shuffles it once.
     """
     finite = [c for c in cuts if abs(c) != float("inf")] or [0.0]
     bounded = [-float("inf"), *finite, float("inf")]
@@ -63,13 +65,17 @@ def running_totals(
     direction = F.desc if descending else F.asc
     group = Window.partitionBy(*keys)
     before = group.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    per_range = ranged.groupBy(*keys, "_range").agg(*[F.sum(c).alias(c) for c in sums])
+    rest = [c for c in df.columns if c not in {*keys, *sums, order}]
+    per_range = ranged.groupBy(*keys, "_range").agg(
+        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in rest]
+    )
     carry = per_range.select(
         *keys,
         "_range",
         F.lit(True).alias("_carry"),
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums],
         *[F.sum(c).over(group).alias(f"{c}_total") for c in sums],
+        *rest,
     )
 
     within = (

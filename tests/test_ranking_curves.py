@@ -76,6 +76,21 @@ def test_no_task_gets_a_whole_group(spark, rows):
     assert windows and all("_range" in line for line in windows)
 
 
+@pytest.mark.parametrize("measure", [
+    lambda df: curves.roc_points(df, "label", "score", ["model"]),
+    lambda df: curves.curve_areas(df, "label", "score", ["model"]),
+    lambda df: curves.evaluation_table(df, "label", "score"),
+    lambda df: ranking.exact_quantiles(df, ["model"], "score", distribution.QUARTILES),
+])
+def test_rows_are_counted_once(spark, rows, tmp_path, measure):
+    """Both uses of the counted rows share one scan and one shuffle."""
+    scored(spark, rows).write.parquet(str(tmp_path / "t"))
+    df = measure(spark.read.parquet(str(tmp_path / "t")))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert (final.count("FileScan"), final.count("ReusedExchange")) == (1, 1)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(-20, 20) | st.none()), min_size=1, max_size=40))
 def test_exact_quantiles_match_brute_force(spark, values):
