@@ -31,24 +31,20 @@ def score_by_class(
     by: Sequence[str] = (),
     exact: bool = False,
     accuracy: int = 1_000,
+    cuts: Sequence[float] | None = None,
 ) -> DataFrame:
     """Row count, mean and quartiles of the score per actual class.
 
-    Approximate quartiles come from one pass. Exact ones are ranked in many
-    tasks and then joined with the means: one row per class.
+    Approximate quartiles come from one plain aggregation. Exact ones are ranked
+    in many tasks, and all figures come from the same counts.
     """
     keys = [*by, label]
     basics = [F.avg(score).alias("mean_score"), F.count(F.lit(1)).alias("n")]
     if not exact:
         approx = [F.percentile_approx(score, share, accuracy).alias(name) for name, share in QUARTILES.items()]
         return predictions.groupBy(*keys).agg(*basics, *approx)
-    quantiles = exact_quantiles(predictions, keys, score, QUARTILES)
-    quantiles = quantiles.withColumnsRenamed({k: f"_q_{k}" for k in keys})
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_q_{key}"))
-    summary = predictions.groupBy(*keys).agg(*basics).join(quantiles, same, "left")
-    return summary.select(*keys, "mean_score", "n", *QUARTILES)
+    measured = exact_quantiles(predictions, keys, score, QUARTILES, cuts, summaries=True)
+    return measured.select(*keys, F.col("mean").alias("mean_score"), "n", *QUARTILES)
 
 
 def equal_width_bin(column: str, low: float, high: float, bins: int) -> Column:

@@ -99,17 +99,20 @@ def exact_quantiles(
     column: str,
     shares: Mapping[str, float],
     cuts: Sequence[float] | None = None,
+    summaries: bool = False,
 ) -> DataFrame:
     """Exact quantiles per group, with linear interpolation between neighbours.
 
     One output column per entry of ``shares``. Equal values are counted together
     first, so that neither a frequent value nor a large group lands in one task.
-    Groups without values are absent.
+    With ``summaries`` the columns ``n`` (all rows) and ``mean`` come along from the
+    same counts. Groups without values have NULL quantiles.
     """
-    present = df.filter(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_value"))
     if cuts is None:
-        cuts = cut_points(present, "_value")
-    counted = present.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_n"))
+        cuts = cut_points(df, column)
+    counted = df.groupBy(*keys, F.col(column).cast("double").alias("_value")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(column).alias("_n")
+    )
     ranked = running_totals(counted, keys, "_value", ["_n"], cuts)
 
     picks = []
@@ -119,6 +122,11 @@ def exact_quantiles(
             here = (wanted < F.col("_n_run")) & (wanted >= F.col("_n_run") - F.col("_n"))
             picks.append(F.max(F.when(here, F.col("_value"))).alias(f"_{side}_{name}"))
         picks.append(F.max(rank - F.floor(rank)).alias(f"_part_{name}"))
+    extra = []
+    if summaries:
+        extra = ["n", "mean"]
+        weighted = F.sum(F.col("_value") * F.col("_n"))
+        picks += [F.sum("_rows").alias("n"), F.try_divide(weighted, F.sum("_n")).alias("mean")]
     found = ranked.groupBy(*keys).agg(*picks)
     return found.select(
         *keys,
@@ -126,4 +134,5 @@ def exact_quantiles(
             (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")).alias(n)
             for n in shares
         ],
+        *extra,
     )

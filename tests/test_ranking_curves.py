@@ -80,7 +80,7 @@ def test_no_task_gets_a_whole_group(spark, rows):
     lambda df: curves.roc_points(df, "label", "score", ["model"]),
     lambda df: curves.curve_areas(df, "label", "score", ["model"]),
     lambda df: curves.evaluation_table(df, "label", "score"),
-    lambda df: ranking.exact_quantiles(df, ["model"], "score", distribution.QUARTILES),
+    lambda df: distribution.score_by_class(df, "label", "score", ["model"], exact=True),
 ])
 def test_rows_are_counted_once(spark, rows, tmp_path, measure):
     """Both uses of the counted rows share one scan and one shuffle."""
@@ -102,7 +102,7 @@ def test_exact_quantiles_match_brute_force(spark, values):
     for key in "ab":
         own = sorted(float(v) for k, v in values if k == key and v is not None)
         if not own:
-            assert key not in found
+            assert found.get(key, (None, None, None)) == (None, None, None)
             continue
         wanted = statistics.quantiles(own, n=4, method="inclusive") if len(own) > 1 else [own[0]] * 3
         assert found[key] == pytest.approx(tuple(wanted))
@@ -239,6 +239,16 @@ def test_drift_of_equal_and_shifted_batches(spark):
     assert one_sided.baseline_n == 1000 and one_sided.current_n == 0
 
 
+def test_score_by_class_counts_rows_without_score(spark):
+    df = scored(spark, [("m", 1, 0.2, 0.0), ("m", 1, 0.6, 0.0), ("m", 1, None, 0.0), ("m", 0, None, 0.0)])
+    for exact in (True, False):
+        found = {r.label: r for r in distribution.score_by_class(df, "label", "score", exact=exact).collect()}
+        assert (found[1].n, found[1].mean_score, found[0].n, found[0].mean_score) == (3, pytest.approx(0.4), 1, None)
+        assert found[0].median is None
+    # exact interpolates
+    assert distribution.score_by_class(df, "label", "score", exact=True).filter("label = 1").first().median == pytest.approx(0.4)
+
+
 def test_score_by_class_exact_close_to_approximate(spark, rows):
     df = scored(spark, rows)
     exact = {(r.model, r.label): r for r in distribution.score_by_class(df, "label", "score", ["model"], exact=True).collect()}
