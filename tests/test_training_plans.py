@@ -55,6 +55,15 @@ def test_output_layout(spark, run):
     assert {r.Model for r in stored.collect()} == set(QUICK)
 
 
+def test_parts_read_their_own_folder(run):
+    result, _ = run
+    plan = result["train"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+    assert split.validate_data_leakage_prevention(result["train"], result["test"])
+    hashed = split.split_part()
+    assert result["test"].filter(hashed != "test").count() == 0 and result["train"].filter(hashed != "train").count() == 0
+
+
 def test_saved_model_scores_as_before(spark, run):
     result, _ = run
     before = {r[0]: r[1] for r in result["best_predictions"].select(ROW_KEY, SCORE).collect()}
@@ -101,7 +110,8 @@ def test_scoring_plan(spark, run, tmp_path):
     out = str(tmp_path / "scored")
     predictions = scoring_plan.predict_pipeline(spark, result["model_path"], result["test"], out)
     assert spark.read.parquet(out).count() == predictions.count()
-    reports = scoring_plan.scoring_reports(predictions)
+    reports = scoring_plan.scoring_reports(predictions, data=result["test"])
+    assert reports["unscored"].count() == 0
     assert sum(r["count"] for r in reports["summary"].collect()) == predictions.count()
     assert "actual_readmit_rate_pct" in reports["summary"].columns
     assert reports["high_risk"].count() == reports["high_risk_report"].first().high_risk
