@@ -29,6 +29,13 @@ def _on_days(df: DataFrame, entity: str, at: str, per_day: list[Column], over_da
     return dated.join(days, same_day, "left").drop("_entity", "_on")
 
 
+def _prior_counts(kinds: Mapping[str, Column], days: int) -> tuple[list[Column], dict[str, Column]]:
+    past = Window.partitionBy("_entity").orderBy("_on").rangeBetween(-days, -1)
+    per_day = [F.count_if(condition).alias(f"_n_{name}") for name, condition in kinds.items()]
+    over = {name: F.coalesce(F.sum(f"_n_{name}").over(past), F.lit(0)).cast("int") for name in kinds}
+    return per_day, over
+
+
 def with_prior_visits(
     df: DataFrame,
     entity: str,
@@ -41,15 +48,11 @@ def with_prior_visits(
     The visit's own day does not count. ``kinds`` maps a new column to the
     condition that a visit is of that kind.
     """
-    history = Window.partitionBy("_entity").orderBy("_on").rangeBetween(-days, -1)
-    per_day = [F.count_if(condition).alias(f"_n_{name}") for name, condition in kinds.items()]
-    over = {
-        name: F.coalesce(F.sum(f"_n_{name}").over(history), F.lit(0)).cast("int") for name in kinds
-    }
+    per_day, over = _prior_counts(kinds, days)
     return _on_days(df, entity, at, per_day, over).drop("_day")
 
 
-def _next_visit(at: str, row_key: str, column: str) -> tuple[list[Column], dict[str, Column]]:
+def _next_visit(at: str, row_key: str) -> tuple[list[Column], dict[str, Column]]:
     timeline = Window.partitionBy("_entity").orderBy("_on")
     per_day = [F.max(F.struct(at, row_key)).alias("_last")]
     over = {"_last_of_day": F.col("_last"), "_next_on": F.lead("_on").over(timeline)}
@@ -73,7 +76,7 @@ def with_next_visit_label(
     within: int = 30,
 ) -> DataFrame:
     """Add ``<30`` / ``>30`` / ``NO``: days until the entity's next visit, in order of time and key."""
-    per_day, over = _next_visit(at, row_key, column)
+    per_day, over = _next_visit(at, row_key)
     labelled = _on_days(df, entity, at, per_day, over).withColumn(column, _next_label(at, row_key, within))
     return labelled.drop("_day", "_last_of_day", "_next_on")
 
@@ -89,9 +92,7 @@ def with_visit_history(
     within: int = 30,
 ) -> DataFrame:
     """Both of the above, with one aggregation and one join."""
-    history = Window.partitionBy("_entity").orderBy("_on").rangeBetween(-days, -1)
-    per_day, over = _next_visit(at, row_key, column)
-    per_day += [F.count_if(condition).alias(f"_n_{name}") for name, condition in kinds.items()]
-    over |= {name: F.coalesce(F.sum(f"_n_{name}").over(history), F.lit(0)).cast("int") for name in kinds}
-    both = _on_days(df, entity, at, per_day, over).withColumn(column, _next_label(at, row_key, within))
+    per_day, over = _prior_counts(kinds, days)
+    more_per_day, more_over = _next_visit(at, row_key)
+    both = _on_days(df, entity, at, per_day + more_per_day, over | more_over).withColumn(column, _next_label(at, row_key, within))
     return both.drop("_day", "_last_of_day", "_next_on")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from riskloom.operators.comparison import ModelResult
 from riskloom.operators.scoring import make_predictions
 from riskloom.operators.split import add_sample_weights, calculate_class_weights
-from riskloom.schemas import ENTITY_KEY, LABEL, ROW_KEY, SPLIT_SEED, FeatureSpec
+from riskloom.schemas import ENTITY_KEY, LABEL, ROW_KEY, SPLIT_SEED
 from riskloom.session import ensure_checkpoint_dir, local_frame
 
 UNSCALED, FEATURES, WEIGHT = "features_unscaled", "features", "sample_weight"
