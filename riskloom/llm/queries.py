@@ -10,6 +10,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, the numbers of the removed ones, and the kept text's SHA-256."""
+    from riskloom.llm.line_dedup import repeated_lines, without_lines
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
+    removed = repeated_lines(docs)
+    kept = without_lines(docs.withColumn("n_lines", lines), removed)
+    return kept.select("doc_id", "n_lines", F.col("__n_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.near_dedup import near_duplicates
 
@@ -17,6 +28,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op10_near_dedup": op10_near_dedup,
 }
 
