@@ -21,6 +21,20 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", F.col("__n_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.toxicity import fit, hashed_fold, toxicity
+
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity(docs, model).withColumn("held_out", hashed_fold(F.col("doc_id")) == 0).select("doc_id", "held_out", "score", "predicted")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.decontamination import contained_items
+
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.near_dedup import near_duplicates
 
@@ -29,6 +43,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op9_decontamination": op9_decontamination,
     "op10_near_dedup": op10_near_dedup,
 }
 
