@@ -27,6 +27,7 @@ Only ``doc_id`` and ``text`` are read, and only the text is an input of the scor
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +41,7 @@ from riskloom.llm import textbytes as tb
 SPAN, DECAY = 6, 0.7
 LETTERS = 32
 #: Below a kernel of NEAR with all toxic landmarks a word gets the margin LOWEST.
-NEAR = 0.4
+NEAR = 0.5
 LOWEST = -2.0
 _STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 _WEIGHTS = np.array([DECAY ** (j + 1) for _, j in _STEPS], np.float32)
@@ -144,16 +145,30 @@ class Model:
         """Decision per word; LOWEST where no toxic landmark can have a kernel of ``NEAR`` or more."""
         out = np.full(len(offsets) - 1, LOWEST)
         near = np.flatnonzero(ceiling(code, offsets, self.most) >= NEAR) if len(out) else []
-        for part in np.array_split(near, len(near) // 2000 + 1) if len(near) else []:
-            sizes = offsets[part + 1] - offsets[part]
-            cuts = np.concatenate([[0], np.cumsum(sizes)])
-            at = np.repeat(offsets[part] - cuts[:-1], sizes) + np.arange(cuts[-1])
-            like = kernel(code[at], cuts, self.marks)
-            margin = sharpened(like) @ self.weights + self.bias
-            out[part] = np.where(like[:, : self.toxic].max(axis=1) >= NEAR, margin, LOWEST)
+        if not len(near):
+            return out
+        text = code.tobytes()
+        spelt = [text[a:b] for a, b in zip(offsets[near].tolist(), offsets[near + 1].tolist())]
+        new = [w for w in dict.fromkeys(spelt) if w not in self.known]
+        if len(self.known) > 400_000:  # a memo only: forgotten words are computed again
+            self.known, new = {}, list(dict.fromkeys(spelt))
+        for i in range(0, len(new), 1000):
+            part = new[i : i + 1000]
+            cuts = np.concatenate([[0], np.cumsum([len(w) for w in part])])
+            letters = np.frombuffer(b"".join(part), np.uint8)
+            close = np.flatnonzero(kernel(letters, cuts, self.toxic_marks).max(axis=1) >= NEAR)
+            self.known.update(dict.fromkeys(part, LOWEST))
+            if len(close):
+                words = [part[k] for k in close]
+                cuts = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+                like = kernel(np.frombuffer(b"".join(words), np.uint8), cuts, self.marks)
+                self.known.update(zip(words, np.maximum(sharpened(like) @ self.weights + self.bias, LOWEST).tolist()))
+        out[near] = [self.known[w] for w in spelt]
         return out
 
     def __post_init__(self) -> None:
+        self.known: dict[bytes, float] = {}
+        self.toxic_marks = np.ascontiguousarray(self.marks[:, : self.toxic])
         self.most = self.marks[:, : self.toxic].max(axis=1) if self.toxic else np.zeros(len(self.marks), np.float32)
 
     def margins(self, column: pa.Array) -> np.ndarray:
@@ -191,17 +206,19 @@ def _sampled(docs: DataFrame, labels: DataFrame, sample_toxic: int, sample_clean
 
 
 def _apart(documents: list[set[str]]) -> list[int]:
-    """Documents that are no copies of an earlier one: no MinHash of their words in common."""
-    seen: list[set[int]] = [set() for _ in range(6)]
-    salts, out = tb.seeds(6, 41), []
+    """Documents that agree with no earlier one in 3 of 8 MinHashes of their words; the rest are copies."""
+    seen: dict[tuple[int, int], list[int]] = {}
+    salts, out = tb.seeds(8, 41), []
     for i, words in enumerate(documents):
-        if words:
-            base = np.array([hash_of(w) for w in words], np.uint64)
-            least = [int(tb.mix(base ^ s).min()) for s in salts]
-            if not any(x in s for x, s in zip(least, seen)):
-                out.append(i)
-            for x, s in zip(least, seen):
-                s.add(x)
+        if not words:
+            continue
+        base = np.array([hash_of(w) for w in words], np.uint64)
+        keys = [(k, int(tb.mix(base ^ s).min())) for k, s in enumerate(salts)]
+        shared = Counter(j for key in keys for j in seen.get(key, ()))
+        if max(shared.values(), default=0) < 3:
+            out.append(i)
+            for key in keys:
+                seen.setdefault(key, []).append(i)
     return out
 
 
@@ -261,7 +278,7 @@ def _machine(positive: dict[str, int], negative: list[str], landmarks: int) -> M
     return Model(rows, len(toxic), whiten @ weights[:-1], float(weights[-1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_toxic: int = 2000, sample_clean: int = 4000, landmarks: int = 160, rounds: int = 3) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample_toxic: int = 2000, sample_clean: int = 4000, landmarks: int = 128, rounds: int = 3) -> Model:
     """Learns from labelled rows outside the held-out fold; the sample bounds what the driver holds."""
     sample = _sampled(docs, labels, sample_toxic, sample_clean).toPandas()
     texts = pa.array(sample["text"].tolist(), pa.string())
