@@ -3,7 +3,7 @@
 A line is normalised: A-Z lower-cased, digits read as 0, every run of other ASCII
 characters one space. Lines with fewer than ``min_words`` words stay untouched. Equal
 normalised lines are one class. Two classes are linked if their 64-bit SimHashes over
-byte 4-grams differ in at most ``BLOCKS - CLEAN`` bits and their edit similarity
+words differ in at most ``BLOCKS - CLEAN`` bits and their edit similarity
 (1 - Levenshtein distance / longer length, of the normalised lines) is at least
 ``similarity``. If two hashes of ``BLOCKS`` blocks differ in at most that many bits,
 ``CLEAN`` blocks are equal, so a join on all choices of ``CLEAN`` blocks misses no pair.
@@ -27,10 +27,9 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import textbytes as tb
 from riskloom.llm.clusters import linked_components, spanning
-from riskloom.llm.tables import Scratch, small
+from riskloom.llm.tables import BROADCAST_ROWS, Scratch, small
 
 BLOCKS, CLEAN = 5, 2
-GRAM = 4
 
 #: Bytes that belong to words: letters, digits, and all of non-ASCII characters.
 _WORD = np.zeros(256, bool)
@@ -38,8 +37,9 @@ _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 _NORMAL = np.where(_WORD, np.arange(256), 32).astype(np.uint8)
 _NORMAL[65:91] += 32
 _NORMAL[48:58] = 48
-#: For the 4-gram hash: 16 bits to 64 signs.
+#: 16 bits of a word's hash to 64 signs.
 _SIGNS = (np.unpackbits(tb.seeds(1 << 16, 21).view(np.uint8)).reshape(-1, 64).astype(np.int8) * 2 - 1).astype(np.int8)
+_FEATURE = tb.Hasher(9)
 
 
 def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -76,15 +76,14 @@ def normalised(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
 
 
 def simhashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """SimHash of each span over its byte 4-grams (a shorter span counts as one gram, padded)."""
-    padded = np.concatenate([data, np.full(GRAM, 32, np.uint8)]).astype(np.uint32)
-    gram = sum(padded[k : len(padded) - GRAM + k] << np.uint32(8 * k) for k in range(GRAM)) * np.uint32(2654435761)
-    gram = (gram ^ (gram >> np.uint32(13))) * np.uint32(0x85EBCA6B) >> np.uint32(16)
-    counts = np.maximum(np.diff(offsets) - GRAM + 1, np.minimum(np.diff(offsets), 1))
-    out = np.zeros(len(counts), np.uint64)
-    for i in np.flatnonzero(counts):
-        total = _SIGNS[gram[offsets[i] : offsets[i] + counts[i]]].sum(axis=0, dtype=np.int32)
-        out[i] = np.packbits(total > 0).view(np.uint64)[0]
+    """SimHash of each normalised line over its words; 0 without words."""
+    starts, ends, firsts = tb.spans(data, offsets, tb.SPACES)
+    out = np.zeros(len(offsets) - 1, np.uint64)
+    filled = np.flatnonzero(np.diff(firsts))
+    if len(filled):
+        signs = _SIGNS[_FEATURE(data, starts, ends) >> np.uint64(48)]
+        total = np.add.reduceat(signs, firsts[filled], axis=0, dtype=np.int32)
+        out[filled] = np.packbits(total > 0, axis=1).view(np.uint64).ravel()
     return out
 
 
@@ -98,10 +97,7 @@ def _lines(min_words: int):
                 plain, cuts, words = normalised(data, starts, ends)
                 long = np.flatnonzero(words >= min_words)
                 h1, h2 = first(plain, cuts[long], cuts[long + 1]), second(plain, cuts[long], cuts[long + 1])
-                _, one, back = np.unique(h1, return_index=True, return_inverse=True)
-                picked = long[one]
-                kept = np.concatenate([plain[cuts[i] : cuts[i + 1]] for i in picked]) if len(picked) else plain[:0]
-                sims = simhashes(kept, np.concatenate([[0], np.cumsum(cuts[picked + 1] - cuts[picked])]))[back]
+                sims = simhashes(plain, cuts)[long]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").take(pa.array(text[long])), pa.array(number[long].astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (h1, h2, sims))],
                     ["doc_id", "line", "node", "check", "sim"],
@@ -256,12 +252,17 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.9, min_words: int = 3)
     kept = scratch.store(grouped.groupBy("root").agg(F.min("first").alias("kept")).select("root", "kept"))
     named = grouped.select("node", "check", "root").join(kept, "root").select("node", "check", "kept")
     gone = lines.join(named, ["node", "check"]).filter(place != F.col("kept"))
-    return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    out = scratch.store(gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")))
+    scratch.drop(lines, classes, kept, candidates)
+    return out
 
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` with the named lines taken out of ``text``, and the number of removed lines as ``n_removed``."""
     gone = removed.select(F.col("doc_id").alias("__doc"), F.col("removed").alias("__gone"))
+    rows, entries = removed.agg(F.count("*"), F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()
+    if rows <= BROADCAST_ROWS and entries <= 8 * BROADCAST_ROWS:  # some tens of MB; a larger table is joined by a shuffle
+        gone = F.broadcast(gone)
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("__gone", i)), "\n")
     joined = docs.join(gone, F.col("doc_id") == F.col("__doc"), "left")
     return joined.withColumns(

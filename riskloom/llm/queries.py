@@ -29,6 +29,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, model).withColumn("held_out", hashed_fold(F.col("doc_id")) == 0).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from riskloom.llm.bpe_codec import encoded_digests
+
+    return encoded_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.decontamination import contained_items
 
@@ -44,6 +52,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op5_toxicity": op5_toxicity,
+    "op8_bpe_codec": op8_bpe_codec,
     "op9_decontamination": op9_decontamination,
     "op10_near_dedup": op10_near_dedup,
 }
