@@ -244,12 +244,13 @@ def _varied(word: str) -> list[str]:
 
 def _spread(words: list[str], most: int, alike: float) -> list[str]:
     """The first words that are less than ``alike`` to all chosen before."""
-    marks = landmark_rows(words)
-    like, chosen = kernel(*coded(words), marks) if words else np.zeros((0, 0)), []
-    for i in range(len(words)):
-        if len(chosen) < most and all(like[i, k] < alike for k in chosen):
-            chosen.append(i)
-    return [words[i] for i in chosen]
+    chosen: list[str] = []
+    marks = np.zeros((LETTERS**3, most), np.float32)
+    for word in words:
+        if len(chosen) < most and kernel(*coded([word]), marks).max(initial=0) < alike:
+            marks[:, len(chosen)] = landmark_rows([word])[:, 0]
+            chosen.append(word)
+    return chosen
 
 
 def _machine(positive: dict[str, int], negative: list[str], landmarks: int) -> Model:
@@ -261,7 +262,7 @@ def _machine(positive: dict[str, int], negative: list[str], landmarks: int) -> M
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
     varied = [v for w in toxic for v in _varied(w) if len(w) > 3]
     words = [*heavy, *varied, *negative]
-    z = np.concatenate([sharpened(kernel(*coded(words[i : i + 500]), rows)) for i in range(0, len(words), 500)]) @ whiten
+    z = np.concatenate([sharpened(kernel(*coded(words[i : i + 200]), rows)) for i in range(0, len(words), 200)]) @ whiten
     z = np.hstack([z, np.ones((len(z), 1))])
     y = np.where(np.arange(len(words)) < len(heavy) + len(varied), 1.0, -1.0)
     gain = np.array([*np.sqrt([positive[w] for w in heavy]), *np.full(len(varied), 1.0), *np.full(len(negative), 1.0)])
@@ -278,15 +279,18 @@ def _machine(positive: dict[str, int], negative: list[str], landmarks: int) -> M
     return Model(rows, len(toxic), whiten @ weights[:-1], float(weights[-1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_toxic: int = 2000, sample_clean: int = 4000, landmarks: int = 128, rounds: int = 3) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample_toxic: int = 1200, sample_clean: int = 2400, landmarks: int = 128, rounds: int = 3) -> Model:
     """Learns from labelled rows outside the held-out fold; the sample bounds what the driver holds."""
-    sample = _sampled(docs, labels, sample_toxic, sample_clean).toPandas()
-    texts = pa.array(sample["text"].tolist(), pa.string())
-    label = sample["toxic"].to_numpy()
+    sample = _sampled(docs, labels, sample_toxic, sample_clean).select("toxic", "text").toArrow()
+    texts, label = sample.column("text").combine_chunks(), sample.column("toxic").to_numpy()
     if not (label == 1).any() or not (label == 0).any():
         return Model(np.zeros((LETTERS**3, 1), np.float32), 0, np.zeros(1), LOWEST)
-    code, offsets, firsts = letter_words(texts)
-    words = [{spelled(code[offsets[k] : offsets[k + 1]]) for k in range(firsts[i], firsts[i + 1])} for i in range(len(texts))]
+    one: dict[str, str] = {}  # equal words of all texts share one string
+    words = []
+    for i in range(len(texts)):
+        code, offsets, _ = letter_words(texts.slice(i, 1))
+        letters = spelled(code)
+        words.append({one.setdefault(w, w) for w in (letters[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()))})
     clean: dict[str, int] = {}
     for i in np.flatnonzero(label == 0):
         for w in words[i]:
@@ -298,11 +302,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_toxic: int = 2000, sample_cle
     negative = sorted(every, key=lambda w: (-clean[w], w))[:1000]
     model = _machine(positive, negative, landmarks)
     for _ in range(rounds - 1):
-        known, margin = set(negative), model.word_margins(*coded(every))
+        known = set(negative)
+        margin = np.concatenate([model.word_margins(*coded(every[i : i + 5000])) for i in range(0, len(every), 5000)])
         hard = [every[i] for i in np.argsort(-margin, kind="stable")[:1000] if margin[i] > LOWEST]
         negative = [*(w for w in hard if w not in known), *negative]
         model = _machine(positive, negative, landmarks)
-    margins = np.concatenate([model.margins(texts.slice(i, 256)) for i in range(0, len(texts), 256)])
+    margins = np.concatenate([model.margins(texts.slice(i, 64)) for i in range(0, len(texts), 64)])
+    model.known = {}
     model.slope, model.offset = _logistic(margins, label)
     return model
 
