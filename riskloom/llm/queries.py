@@ -29,6 +29,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, model).withColumn("held_out", hashed_fold(F.col("doc_id")) == 0).select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.substring_dedup import without_repeats
+
+    return without_repeats(_table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,6 +58,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op5_toxicity": op5_toxicity,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_decontamination": op9_decontamination,
     "op10_near_dedup": op10_near_dedup,
