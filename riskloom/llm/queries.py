@@ -10,6 +10,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.license_scan import scanned
+
+    return scanned(_table(spark, sf_dir, "documents"))
+
+
+def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.kd_shards import kd_sharded
+
+    placed = kd_sharded(_table(spark, sf_dir, "documents"), shards=8)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, the numbers of the removed ones, and the kept text's SHA-256."""
     from riskloom.llm.line_dedup import repeated_lines, without_lines
@@ -56,6 +69,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op3_kd_shards": op3_kd_shards,
     "op2_line_dedup": op2_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
