@@ -34,6 +34,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", F.col("__n_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_mtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.mtree_search import top_products
+
+    return top_products(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.toxicity import fit, hashed_fold, toxicity
 
@@ -72,6 +78,7 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_kd_shards": op3_kd_shards,
     "op2_line_dedup": op2_line_dedup,
+    "op4_mtree_search": op4_mtree_search,
     "op5_toxicity": op5_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe_codec": op8_bpe_codec,
@@ -79,4 +86,19 @@ QUERIES = {
     "op10_near_dedup": op10_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mtree_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s)
+        WHERE r <= 20
+    """,
+}
