@@ -3,7 +3,7 @@
 A line is normalised: A-Z lower-cased, digits read as 0, every run of other ASCII
 characters one space. Lines with fewer than ``min_words`` words stay untouched. Equal
 normalised lines are one class. Two classes are linked if their 64-bit SimHashes over
-words differ in at most ``BLOCKS - CLEAN`` bits and their edit similarity
+distinct words differ in at most ``BLOCKS - CLEAN`` bits and their edit similarity
 (1 - Levenshtein distance / longer length, of the normalised lines) is at least
 ``similarity``. If two hashes of ``BLOCKS`` blocks differ in at most that many bits,
 ``CLEAN`` blocks are equal, so a join on all choices of ``CLEAN`` blocks misses no pair.
@@ -76,14 +76,19 @@ def normalised(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
 
 
 def simhashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """SimHash of each normalised line over its words; 0 without words."""
+    """SimHash of each normalised line over its distinct words; 0 without words.
+
+    Counted once each, the few words that fill every line of a language don't decide it.
+    """
     starts, ends, firsts = tb.spans(data, offsets, tb.SPACES)
     out = np.zeros(len(offsets) - 1, np.uint64)
-    filled = np.flatnonzero(np.diff(firsts))
-    if len(filled):
-        signs = _SIGNS[_FEATURE(data, starts, ends) >> np.uint64(48)]
-        total = np.add.reduceat(signs, firsts[filled], axis=0, dtype=np.int32)
-        out[filled] = np.packbits(total > 0, axis=1).view(np.uint64).ravel()
+    line = np.repeat(np.arange(len(out), dtype=np.uint64), np.diff(firsts))
+    words = np.unique(line << np.uint64(32) | _FEATURE(data, starts, ends) >> np.uint64(32))
+    if len(words):
+        line = (words >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+        total = np.add.reduceat(_SIGNS[words & np.uint64(0xFFFF)], first, axis=0, dtype=np.int32)
+        out[line[first]] = np.packbits(total > 0, axis=1).view(np.uint64).ravel()
     return out
 
 
