@@ -48,6 +48,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, model).withColumn("held_out", hashed_fold(F.col("doc_id")) == 0).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from riskloom.llm.token_store import stored_ids
+
+    return stored_ids(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm.substring_dedup import without_repeats
 
@@ -80,6 +88,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_mtree_search": op4_mtree_search,
     "op5_toxicity": op5_toxicity,
+    "op6_token_store": op6_token_store,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_decontamination": op9_decontamination,
