@@ -11,7 +11,7 @@ the item's shingles are in the whole document, compared as words.
 
 Items are the query set. They are taken in blocks of bounded bytes, and each block meets
 all documents in its own pass, so its broadcast never grows with the benchmark. Documents
-without any shingle of the block, by a bitmap of shingle hashes, have no candidate and
+without any shingle of the block, by their hashes, have no candidate and
 are passed over; that loses nothing, as equal MinHashes are an equal shingle.
 
 Defined results: null or empty texts and items have no shingles and match nothing; a text
@@ -57,6 +57,7 @@ class ItemIndex:
         sizes = np.array([len(s) for s in self.sets], np.int64)
         self.bitmap = np.zeros(1 << _BITS, bool)
         self.bitmap[values >> np.uint64(64 - _BITS)] = True
+        self.values = np.unique(values)
         filled = np.flatnonzero(sizes)
         level = np.floor(np.log2(np.maximum(sizes, 1))).astype(int) + 1
         self.classes: list[tuple[int, list[tuple[np.ndarray, np.ndarray]]]] = []
@@ -68,7 +69,8 @@ class ItemIndex:
 
     def candidates(self, values: np.ndarray) -> set[int]:
         """Items that agree with a window of the document in a MinHash."""
-        if not len(values) or not self.bitmap[values >> np.uint64(64 - _BITS)].any():
+        hits = values[self.bitmap[values >> np.uint64(64 - _BITS)]]
+        if not len(hits) or (self.values[np.searchsorted(self.values[:-1], hits)] != hits).all():
             return set()
         found: set[int] = set()
         for bound, tables in self.classes:

@@ -61,7 +61,7 @@ class Tree:
         q = queries.astype(np.float64)
         norm = np.linalg.norm(q, axis=1)
         slack = 1e-9 * (1 + norm * np.abs(self.x).max(initial=0) * self.x.shape[1])
-        score = np.full((len(q), k), -np.inf)
+        score = np.full((len(q), k), -np.inf) if self.exact else np.full((len(q), k), np.iinfo(np.int64).min)
         entry = np.full((len(q), k), -1)
         at_centre = q @ np.stack([c for c, *_ in self.inner]).T
         bound = at_centre + norm[:, None] * np.array([r for _, r, *_ in self.inner]) + slack[:, None]
@@ -104,7 +104,7 @@ class Tree:
         scores = np.hstack([score[rows], found])
         entries = np.hstack([entry[rows], np.broadcast_to(np.arange(a, b), found.shape)])
         least = np.where(entries >= 0, self.least[entries], np.iinfo(np.int64).max)
-        keep = np.lexsort((least, -scores), axis=-1)[:, :k]
+        keep = np.lexsort((least, -scores if self.exact else ~scores), axis=-1)[:, :k]
         score[rows], entry[rows] = np.take_along_axis(scores, keep, 1), np.take_along_axis(entries, keep, 1)
 
 
