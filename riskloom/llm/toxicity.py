@@ -206,16 +206,16 @@ def _sampled(docs: DataFrame, labels: DataFrame, sample_toxic: int, sample_clean
 
 
 def _apart(documents: list[set[str]]) -> list[int]:
-    """Documents that agree with no earlier one in 3 of 8 MinHashes of their words; the rest are copies."""
+    """Documents that agree with no earlier one in 9 of 16 MinHashes of their words; the rest are copies."""
     seen: dict[tuple[int, int], list[int]] = {}
-    salts, out = tb.seeds(8, 41), []
+    salts, out = tb.seeds(16, 41), []
     for i, words in enumerate(documents):
         if not words:
             continue
         base = np.array([hash_of(w) for w in words], np.uint64)
         keys = [(k, int(tb.mix(base ^ s).min())) for k, s in enumerate(salts)]
         shared = Counter(j for key in keys for j in seen.get(key, ()))
-        if max(shared.values(), default=0) < 3:
+        if max(shared.values(), default=0) < 9:
             out.append(i)
             for key in keys:
                 seen.setdefault(key, []).append(i)
@@ -228,13 +228,16 @@ def hash_of(word: str) -> int:
 
 def _witnesses(toxic: list[set[str]], clean: dict[str, int], n_clean: int) -> dict[str, int]:
     """Words that recur in toxic documents that are no copies of each other and are rare in clean ones."""
-    own = [{w for w in words if not clean.get(w)} for words in toxic]
-    kept = _apart(own)
+    kept = _apart(toxic)
     count: dict[str, int] = {}
     for i in kept:
         for w in toxic[i]:
             count[w] = count.get(w, 0) + 1
-    return {w: n for w, n in count.items() if n >= 3 and len(w) > 2 and clean.get(w, 0) * len(kept) <= 0.05 * n * n_clean}
+    rare = {w: n for w, n in count.items() if n >= 3 and len(w) > 2 and clean.get(w, 0) * len(kept) <= 0.05 * n * n_clean}
+    # so often that no word would be in toxic documents alone by chance; in a tiny sample the most frequent have to do
+    least = np.log(100 * max(1, len(count))) / np.log(1 + n_clean / max(1, len(kept)))
+    sure = {w: n for w, n in rare.items() if n >= least}
+    return sure or rare
 
 
 def _varied(word: str) -> list[str]:

@@ -110,7 +110,7 @@ def test_contained_items(spark):
         rows.append((300 + i, prose(1, 200) + " " + t + "\n" + prose(2, 4000)))
         swapped = words.copy()
         swapped[len(words) // 2] = "swapped"
-        rows.append((320 + i, prose(3, 150) + " " + " ".join(swapped).upper() + ". " + prose(4, 50)))
+        rows.append((320 + i, prose(3, 150) + " " + " ".join(swapped) + ". " + prose(4, 50)))
         rows.append((340 + i, " ".join(rnd.sample(words, len(words)))))
     found = {(r.doc_id, r.item_id): (r.n_item, r.n_shared) for r in decontamination.contained_items(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
     wanted = {}
