@@ -202,6 +202,22 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (doc, low, high)], ["doc_id", "low", "high"])
 
 
+def least_grams(words: Words, width: int, gram: int = 4) -> np.ndarray:
+    """For each place the smallest hash of the ``gram``-word runs inside the window there.
+
+    Equal windows have the same, and so have most neighbours, which keeps a repeat together.
+    """
+    gram = min(gram, width)
+    place = np.arange(len(words.names))
+    least = words.ranges(place, np.minimum(place + gram, len(place)))
+    span, done = width - gram + 1, 1
+    while done < span:
+        step = min(done, span - done)
+        least[: len(least) - step] = np.minimum(least[: len(least) - step], least[step:])
+        done += step
+    return least
+
+
 def _window_rows(width: int, buckets: int):
     """Per task the first occurrence of each candidate window; later ones of the task are settled (state 1)."""
 
@@ -220,7 +236,8 @@ def _window_rows(width: int, buckets: int):
                 at = at[np.cumsum(wanted)[at] > 0]
                 text = np.searchsorted(words.firsts, at, "right") - 1
                 doc = part.column("doc_id").to_numpy(zero_copy_only=False)[text].astype(np.int64)
-                held.append([words.ranges(at, at + width), words.ranges(at, at + width, True), doc, (at - words.firsts[text]).astype(np.int32)])
+                both = words.ranges(at, at + width), words.ranges(at, at + width, True)
+                held.append([*both, doc, (at - words.firsts[text]).astype(np.int32), least_grams(words, width)[at]])
                 if sum(len(h[0]) for h in held) > 2_000_000:
                     yield from _first_windows(held, buckets)
                     held = []
@@ -243,8 +260,8 @@ def _later(a: np.ndarray, b: np.ndarray, doc: np.ndarray, place: np.ndarray) ->
 
 
 def _first_windows(held: list[list[np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
-    a, b, doc, place = (np.concatenate(x) for x in zip(*held))
-    yield from _packed(_buckets(a, buckets), [a, b, doc, place, _later(a, b, doc, place).astype(np.int8)])
+    a, b, doc, place, near = (np.concatenate(x) for x in zip(*held))
+    yield from _packed(_buckets(tb.mix(near), buckets), [a, b, doc, place, _later(a, b, doc, place).astype(np.int8)])
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
