@@ -27,9 +27,6 @@ from riskloom.schemas import (
 # this many values per column, so a finer one costs more where there are many tasks.
 MEDIAN_ACCURACY = 200
 
-# Up to so many distinct values per column are ranked in one task.
-FEW_VALUES = 100_000
-
 
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
@@ -132,27 +129,23 @@ def counts_and_medians(
     exact: bool = False,
     accuracy: int = MEDIAN_ACCURACY,
 ) -> tuple[int, dict[str, int], dict[str, float]]:
-    """Rows, NULLs per column, and the median of the number columns that have NULLs.
+    """Rows, NULLs per column, and the median of every number column, with NULLs or without.
 
     Counts and approximate medians come from one pass; such a median is a value of
     the column whose rank is off by at most 1/accuracy of the rows. Exact medians
     interpolate between the two middle values and are ranked in a second step. A
     column without any value has no median.
     """
-    per_median = [
-        (F.approx_count_distinct(c) if exact else F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy))
-        .alias(f"_m_{c}")
-        for c in median_columns
+    per_median = [] if exact else [
+        F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(f"_m_{c}") for c in median_columns
     ]
     columns = list(dict.fromkeys([*count_columns, *median_columns]))
     row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_c_{c}") for c in columns], *per_median).first()
     nulls = {c: row["_rows"] - row[f"_c_{c}"] for c in columns}
-    open_columns = [c for c in median_columns if nulls[c]]
     if exact:
-        few = all(row[f"_m_{c}"] <= FEW_VALUES for c in open_columns)
-        medians = exact_medians(df, open_columns, [] if few else None) if open_columns else {}
+        medians = exact_medians(df, median_columns) if median_columns else {}
     else:
-        medians = {c: row[f"_m_{c}"] for c in open_columns}
+        medians = {c: row[f"_m_{c}"] for c in median_columns}
     return row["_rows"], nulls, {c: v for c, v in medians.items() if v is not None}
 
 

@@ -15,13 +15,13 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_MIN_RANGES, _MAX_RANGES = 64, 2048
+_MIN_RANGES = 64
 
 
 def range_count(df: DataFrame) -> int:
     """How many ranges to cut: a few per shuffle partition, so that it grows with the cluster."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(_MIN_RANGES, 4 * partitions), _MAX_RANGES)
+    return max(_MIN_RANGES, 4 * partitions)
 
 
 def cut_points(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:

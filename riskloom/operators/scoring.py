@@ -20,8 +20,16 @@ def make_predictions(
     return predictions.withColumn(score, positive_probability()) if include_probability else predictions
 
 
+def missing_feature_rows(data: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows a model skips: those with NULL in one of the columns it assembles. No join."""
+    absent = F.lit(False)
+    for column in columns:
+        absent = absent | F.col(column).isNull()
+    return data.filter(absent)
+
+
 def unscored_rows(data: DataFrame, predictions: DataFrame, key: str = ROW_KEY) -> DataFrame:
-    """Input rows without a prediction: the model skips rows with a missing feature."""
+    """Rows of one table without a prediction in another, by key; see ``missing_feature_rows`` for one table."""
     return data.join(predictions.select(key), key, "left_anti")
 
 

@@ -63,9 +63,11 @@ def distinct_entities(df: DataFrame, key: str = ENTITY_KEY) -> DataFrame:
 def keep_entities(df: DataFrame, entities: DataFrame, key: str = ENTITY_KEY) -> DataFrame:
     """Rows whose entity is in the given set.
 
-    The set is made distinct first, so that an entity with many rows counts once.
+    The set is made distinct first, so that an entity with many rows counts once. Rows
+    without a key are one entity, so a NULL in the set keeps them.
     """
-    return df.join(distinct_entities(entities, key), key, "left_semi")
+    wanted = distinct_entities(entities, key).withColumnRenamed(key, "_entity")
+    return df.join(wanted, F.col(key).eqNullSafe(F.col("_entity")), "left_semi")
 
 
 def split_report(df: DataFrame, key: str = ENTITY_KEY, part: Column | None = None) -> DataFrame:
@@ -124,7 +126,7 @@ def class_weight_table(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 def calculate_class_weights(df: DataFrame, label: str = LABEL) -> tuple[float, float]:
     """Weights of class 0 and class 1."""
-    weights = {row[label]: row["weight"] for row in class_weight_table(df, label).collect()}
+    weights = {row[label]: row["weight"] for row in class_weight_table(df, label).filter(F.col(label).isin(0, 1)).collect()}
     absent = [c for c in (0, 1) if c not in weights]
     if absent:
         raise ValueError(f"cannot weight classes: no rows with {label} in {absent}")

@@ -33,7 +33,6 @@ CLASSIFIERS = {
     "Random Forest": RandomForestClassifier,
     "Gradient Boosted Trees": GBTClassifier,
 }
-MAX_CATEGORIES = 10_000
 
 
 def create_feature_pipeline(
@@ -66,9 +65,12 @@ def create_feature_pipeline(
     return Pipeline(stages=stages), FEATURES
 
 
-def check_category_sizes(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """Stop before a key-like column is indexed: its values all go to the driver and into vectors."""
-    if not columns:
+def check_category_sizes(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> None:
+    """Stop before a key-like column is indexed: its values all go to the driver and into vectors.
+
+    Counts, approximately, only if there is a limit.
+    """
+    if not columns or limit is None:
         return
     sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
     over = {c: n for c, n in sizes.items() if n > limit}
@@ -93,6 +95,7 @@ def train_all_models(
     models: Mapping[str, Mapping[str, Any]] | None = None,
     label: str = LABEL,
     keys: Sequence[str] = (ENTITY_KEY, ROW_KEY),
+    max_categories: int | None = None,
 ) -> tuple[dict[str, ModelResult], PipelineModel]:
     """Fit the feature stages and every classifier on the training part only.
 
@@ -100,11 +103,12 @@ def train_all_models(
     three. Each result holds a whole pipeline (feature stages and classifier), which
     scores prepared rows after being saved and loaded, and lazy predictions for the
     test part. The encoded training vectors are kept on the executors during the
-    fits, and rebuilt from the source if an executor is lost.
+    fits, and rebuilt from the source if an executor is lost. All labels of a category
+    column reach the driver, as indexing needs them; ``max_categories`` refuses more.
     """
     models = models if models is not None else {name: {} for name in MODEL_SETTINGS}
     ensure_checkpoint_dir(train_df.sparkSession)
-    check_category_sizes(train_df, categorical_features)
+    check_category_sizes(train_df, categorical_features, max_categories)
     wanted = [*numeric_features, *binary_features, *categorical_features]
     pruned = train_df.select(*wanted, label)
     weighted = add_sample_weights(pruned, *calculate_class_weights(pruned, label), label)
@@ -128,6 +132,12 @@ def train_all_models(
     return results, encoder
 
 
+def assembled_columns(model: PipelineModel) -> list[str]:
+    """Columns of the input that must not be NULL for a row to be scored; NULL categories are indexed."""
+    made = {c for stage in model.stages if hasattr(stage, "getOutputCols") for c in stage.getOutputCols()}
+    return [c for stage in model.stages if isinstance(stage, VectorAssembler) for c in stage.getInputCols() if c not in made]
+
+
 def slot_names(encoder: PipelineModel, like: DataFrame) -> list[str]:
     """Name of each slot of the feature vector; the scaler drops them, the assembler has them."""
     assembled = like.limit(0)

@@ -89,6 +89,7 @@ def train_on_raw(
     preparer: EncounterPreparer | None = None,
     features: FeatureSpec = ENCOUNTER_FEATURES,
     models: Mapping[str, Mapping[str, Any]] | None = None,
+    max_categories: int | None = None,
 ) -> dict[str, ModelResult]:
     """Train models whose pipelines take raw encounters.
 
@@ -98,7 +99,7 @@ def train_on_raw(
     prepare = (preparer or EncounterPreparer()).fit(raw_train)
     train, test = prepare.transform(raw_train), prepare.transform(raw_test)
     spec = features.available(train.columns)
-    results, _ = train_all_models(train, test, spec.numeric, spec.binary, spec.categorical, models)
+    results, _ = train_all_models(train, test, spec.numeric, spec.binary, spec.categorical, models, max_categories=max_categories)
     return {
         name: ModelResult(PipelineModel(stages=[prepare, *result.model.stages]), result.predictions)
         for name, result in results.items()

@@ -49,20 +49,15 @@ def save_test_predictions(predictions: DataFrame, output_path: str) -> None:
     save_predictions(predictions, output_path, TEST_PREDICTION_COLUMNS, strict=True)
 
 
-def written(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def written(df: DataFrame, path: str, partition_by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Write a frame and read it back: one computation, whatever follows, and a short lineage.
 
     Filters on ``partition_by`` columns then read only the folders they need.
 
-    A table too small to give every core a split is spread over the cores when
-    read, since what follows (fits, evaluation) passes over it many times. A table
-    with more splits than cores is read as it is.
+    ``partitions`` writes that many files, for a small table that many passes follow.
     """
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    spark = df.sparkSession
-    table = spark.read.schema(df.schema).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    (df.repartition(partitions) if partitions else df).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append_scored_batch(model: PipelineModel, batch: DataFrame, output_path: str) -> None:

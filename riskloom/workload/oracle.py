@@ -118,12 +118,10 @@ _LAB = """
   CASE WHEN insulin IN ('Down', 'Steady', 'Up') THEN 1 ELSE 0 END AS on_insulin,
   CASE WHEN "change" = 'Ch' THEN 1 ELSE 0 END AS med_changed"""
 
-_MEDIAN_OPEN = ("num_lab_procedures", "num_procedures", "num_medications", "number_diagnoses")
-
 
 def _median_filled(source: str) -> str:
     return ", ".join(
-        f"CAST(coalesce({c}, (SELECT median({c}) FROM {source})) AS DOUBLE) AS {c}" if c in _MEDIAN_OPEN else c
+        f"CAST(coalesce({c}, (SELECT median({c}) FROM {source})) AS DOUBLE) AS {c}"
         for c in MEDIAN_FILL_COLUMNS
     )
 
@@ -445,10 +443,10 @@ SELECT a."Model" AS champion, b."Model" AS challenger, a."AUC_ROC" AS champion_v
 FROM compared a JOIN compared b ON a."Model" = 'm1' AND b."Model" <> 'm1'"""
 ORACLES["feature_drift"] = f"""WITH {_SCORES},
 binned AS (
-  SELECT model, ts < TIMESTAMP '2024-01-16' AS base, 'score' AS column_name,
+  SELECT model, ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events) AS base, 'score' AS column_name,
          CAST(least(greatest(CAST(floor(score / 0.1::DOUBLE) AS INTEGER), 0), 9) AS VARCHAR) AS bin FROM scores
   UNION ALL
-  SELECT model, ts < TIMESTAMP '2024-01-16', 'label', CAST(label AS VARCHAR) FROM scores
+  SELECT model, ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events), 'label', CAST(label AS VARCHAR) FROM scores
 ),
 counted AS (
   SELECT model, column_name, bin, count(*) FILTER (WHERE base) AS b, count(*) FILTER (WHERE NOT base) AS c
@@ -493,6 +491,26 @@ _from_encounters(
     "encounter_id, readmit_30, true AS same_after_loading, true AS is_probability, true AS agrees_with_class",
     "", "test_rows", _TEST_ROWS,
 )
+_scored = "encounter_id % 10 <> 0"
+ORACLES["predict_run"] = f"WITH {_TEST_ROWS} " + " UNION ALL ".join(
+    f"SELECT '{figure}' AS figure, CAST({n} AS BIGINT) AS n FROM test_rows"
+    for figure, n in (
+        ("rows", f"count(*) FILTER (WHERE {_scored})"),
+        ("positive", f"sum(readmit_30) FILTER (WHERE {_scored})"),
+        ("unscored", f"count(*) FILTER (WHERE NOT {_scored})"),
+        ("summary minus rows", "0 * count(*)"),
+        ("high risk minus threshold", "0 * count(*)"),
+        ("high risk below threshold", "0 * count(*)"),
+        ("report minus threshold", "0 * count(*)"),
+    )
+)
+_from_encounters("malformed_cells", "count(*) AS n_rows, count(*) FILTER (WHERE encounter_id % 7 = 0) AS n_malformed")
+_from_encounters("unscored_encounters", "encounter_id", "WHERE " + " OR ".join(f"{c} IS NULL" for c in MEDIAN_FILL_COLUMNS))
+_from_encounters("random_split_null_keys", "count(*) AS n_rows, count(*) FILTER (WHERE encounter_id % 10 = 0 OR patient_nbr IS NULL) AS n_null")
+_from_encounters(
+    "late_null_features", "count(*) AS n_rows, " + ", ".join(f"0 * count(*) AS null_{c}" for c in MEDIAN_FILL_COLUMNS), "", "cleaned", _CLEANED
+)
+ORACLES["approx_median_ranks"] = " UNION ALL ".join(f"SELECT '{c}' AS column_name, true AS within_error" for c in MEDIAN_FILL_COLUMNS)
 _from_encounters("scored_batches", "encounter_id, CAST(1 AS BIGINT) AS n", "", "test_rows", _TEST_ROWS)
 ORACLES["full_run"] = f"WITH {_TEST_ROWS} " + " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, '{model}' AS model, count(*) AS n_rows, "
@@ -512,5 +530,4 @@ ORACLES["stream_high_risk"] = """
 SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
        count(*) AS n_rows, count(*) FILTER (WHERE value / (value + 35.0::DOUBLE) >= 0.5) AS high_risk
 FROM events
-GROUP BY 1, 2
-HAVING date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+GROUP BY 1, 2"""

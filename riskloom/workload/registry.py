@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from riskloom.functions import code_group
 from riskloom.operators import cleaning, comparison, confusion, curves, distribution, features, history
 from riskloom.operators import scoring, split, training
 from riskloom.plans.evaluation import evaluate_and_compare
-from riskloom.plans.preparation import prepare_encounters
+from riskloom.plans.preparation import apply_preparation, clean_rows, learn_preparation, prepare_encounters
 from riskloom.plans.scoring import predict_pipeline
 from riskloom.plans.stages import train_on_raw
 from riskloom.plans.training_run import train_and_select
@@ -69,6 +70,17 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_data(spark, path, types={"admitted_at": T.TimestampNTZType()})
 
 
+@register
+def malformed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters of which every seventh has a word where a number belongs, read and counted."""
+    path = scratch_path(spark, "encounters-bad-csv")
+    stay = F.when(F.col(ROW_KEY) % 7 == 0, F.lit("some")).otherwise(F.col("time_in_hospital").cast("string"))
+    encounters(spark, sf_dir).withColumn("time_in_hospital", stay).write.option("header", True).csv(path)
+    types = {"admitted_at": T.TimestampNTZType()}
+    loaded = load_data(spark, path, types=types, mode="PERMISSIVE", corrupt="_bad").cache()  # Spark needs the raw column kept
+    return load_report(loaded, "_bad").select("n_rows", "n_malformed")
+
+
 @register
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_report(encounters(spark, sf_dir))
@@ -210,8 +222,9 @@ def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared rows as a table, as fits pass over them several times."""
-    return written(_prepared(spark, sf_dir), scratch_path(spark, "prepared"))
+    """Keys and features of prepared rows as a table, as fits pass over them several times."""
+    wanted = _prepared(spark, sf_dir).select(ROW_KEY, "patient_nbr", LABEL, *ENCOUNTER_FEATURES.all)
+    return written(wanted, scratch_path(spark, "prepared"))
 
 
 @register
@@ -290,7 +303,7 @@ def sample_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def semi_join_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits of the patients who were readmitted within 30 days at least once."""
-    df = _labelled(spark, sf_dir, ROW_KEY, "patient_nbr")
+    df = written(_labelled(spark, sf_dir, ROW_KEY, "patient_nbr"), scratch_path(spark, "labelled"))
     return split.keep_entities(df, df.filter(F.col(LABEL) == 1)).select(ROW_KEY, "patient_nbr")
 
 
@@ -419,26 +432,32 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparison.comparison_table(stacked, "label", "score")
 
 
+def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All models from a single scan, where ``model_comparison`` stacks one frame per model."""
+    return comparison.comparison_table(model_scores(spark, sf_dir), "label", "score")
+
+
 @register
 def comparison_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparison.comparison_long(model_comparison(spark, sf_dir))
+    return comparison.comparison_long(_compared(spark, sf_dir))
 
 
 @register
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparison.best_model(model_comparison(spark, sf_dir), "AUC_ROC")
+    return comparison.best_model(_compared(spark, sf_dir), "AUC_ROC")
 
 
 @register
 def champion_challenger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparison.champion_challenger(model_comparison(spark, sf_dir), "m1")
+    return comparison.champion_challenger(_compared(spark, sf_dir), "m1")
 
 
 @register
 def feature_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores before and after the middle of the month."""
+    """Scores before and after the middle of the time that the events span."""
     scored = model_scores(spark, sf_dir)
-    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    low, high = read_table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(low + (high - low) / 2).cast("timestamp_ntz")
     bins = {
         "score": distribution.equal_width_bin("score", 0.0, 1.0, 10),
         "label": F.col("label"),
@@ -451,13 +470,6 @@ def feature_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- models --------------------------------------------------------------------------
 
-# Small settings keep the registered runs short; the library defaults are the full ones.
-_QUICK = {
-    "Logistic Regression": {"maxIter": 20},
-    "Random Forest": {"numTrees": 10, "maxDepth": 5},
-    "Gradient Boosted Trees": {"maxIter": 5, "maxDepth": 3},
-}
-
 
 def _encoder(prepared: DataFrame) -> PipelineModel:
     spec = ENCOUNTER_FEATURES
@@ -479,11 +491,12 @@ def encode_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trained(spark: SparkSession, sf_dir: str, name: str):
-    prepared = written(prepare_encounters(encounter_table(spark, sf_dir)), scratch_path(spark, "prepared"))
     spec = ENCOUNTER_FEATURES
+    wanted = [ROW_KEY, "patient_nbr", LABEL, *spec.all]
+    prepared = written(prepare_encounters(encounters(spark, sf_dir)).select(*wanted), scratch_path(spark, "prepared"))
     train, test = split.prepare_train_test_split(prepared)
     results, _ = training.train_all_models(
-        train, test, spec.numeric, spec.binary, spec.categorical, {name: _QUICK[name]}
+        train, test, spec.numeric, spec.binary, spec.categorical, {name: {}}
     )
     return results, test
 
@@ -542,11 +555,82 @@ def scored_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy(ROW_KEY).agg(F.count(F.lit(1)).alias("n"))
 
 
+@register
+def predict_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring with a saved model, whole: figures of its reports that must agree with each other and the input."""
+    results, test = _trained(spark, sf_dir, "Logistic Regression")
+    path, out = scratch_path(spark, "model"), scratch_path(spark, "predictions")
+    save_model(results["Logistic Regression"].model, path)
+    holes = test.withColumn("time_in_hospital", F.when(F.col(ROW_KEY) % 10 != 0, F.col("time_in_hospital")))
+    run = predict_pipeline(spark, path, holes, out, 0.55)
+    one, at = F.lit(1), F.count_if(F.col(SCORE) >= 0.55)
+    figures = [  # (name, frame, what is counted); figures of one name are added up
+        ("rows", run["predictions"], F.count(one)),
+        ("positive", run["predictions"], F.sum(LABEL)),
+        ("unscored", run["unscored"], F.count(one)),
+        ("summary minus rows", run["summary"], F.sum("count")),
+        ("summary minus rows", run["predictions"], -F.count(one)),
+        ("high risk minus threshold", run["high_risk"], F.count(one)),
+        ("high risk minus threshold", run["predictions"], -at),
+        ("high risk below threshold", run["high_risk"], F.count_if(F.col(SCORE) < 0.55)),
+        ("report minus threshold", run["high_risk_report"], F.sum("high_risk")),
+        ("report minus threshold", run["predictions"], -at),
+    ]
+    counted = [df.agg(figure.cast("long").alias("n")).select(F.lit(name).alias("figure"), "n") for name, df, figure in figures]
+    return reduce(DataFrame.unionByName, counted).groupBy("figure").agg(F.sum("n").alias("n"))
+
+
+@register
+def unscored_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits a model would skip, found row by row."""
+    df = encounters(spark, sf_dir, [ROW_KEY, *MEDIAN_FILL_COLUMNS])
+    return scoring.missing_feature_rows(df, MEDIAN_FILL_COLUMNS).select(ROW_KEY)
+
+
+@register
+def random_split_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A random split of visits of which every tenth has no patient: how many rows arrive, and with NULL."""
+    df = encounters(spark, sf_dir, [ROW_KEY, "patient_nbr"])
+    df = df.withColumn("patient_nbr", F.when(F.col(ROW_KEY) % 10 != 0, F.col("patient_nbr")))
+    train, test = split.prepare_train_test_split(df, method="random")
+    return train.unionByName(test).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("patient_nbr").isNull()).alias("n_null")
+    )
+
+
+@register
+def late_null_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preparation learned on complete numbers, applied to rows with NULLs: no number stays NULL."""
+    numbers = list(MEDIAN_FILL_COLUMNS)
+    cleaned = clean_rows(encounters(spark, sf_dir))
+    learned = learn_preparation(cleaned.dropna(subset=numbers), exact_median=True)
+    holes = cleaned.withColumns({c: F.when(F.col(ROW_KEY) % 3 != 0, F.col(c)) for c in numbers})
+    filled = apply_preparation(holes, learned)
+    return filled.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in numbers])
+
+
+@register
+def approx_median_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per number column: is the approximate median's rank within the promised error?"""
+    columns = list(MEDIAN_FILL_COLUMNS)
+    df = written(encounters(spark, sf_dir, columns), scratch_path(spark, "numbers"))
+    found = cleaning.approx_medians(df, columns, 0.01)
+    measured = df.agg(*[
+        F.struct(F.count(c).alias("n"), F.count_if(F.col(c) < found[c]).alias("below"), F.count_if(F.col(c) <= found[c]).alias("upto")).alias(c)
+        for c in columns if c in found
+    ])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("m")) for c in columns if c in found]))
+    return measured.select(rows.alias("r")).select(
+        "r.column_name",
+        ((F.col("r.m.below") <= 0.51 * F.col("r.m.n") + 1) & (F.col("r.m.upto") >= 0.49 * F.col("r.m.n") - 1)).alias("within_error"),
+    )
+
+
 @register
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepare, split, train all three, compare, save and score; how many rows each table holds."""
     out = scratch_path(spark, "run")
-    run = train_and_select(encounter_table(spark, sf_dir), out, models=_QUICK)
+    run = train_and_select(encounter_table(spark, sf_dir), out)
     predict_pipeline(spark, run["model_path"], run["test"], f"{out}/predictions/new_predictions")
     compared = run["comparison_df"].select(
         F.lit("model_comparison").alias("table_name"),
@@ -574,7 +658,7 @@ def _stream_scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Pipelin
     )
     raw = written(encounters(spark, sf_dir), raw_path)
     name = "Logistic Regression"
-    trained = train_on_raw(*split.prepare_train_test_split(raw), models={name: _QUICK[name]})
+    trained = train_on_raw(*split.prepare_train_test_split(raw), models={name: {}})
     save_model(trained[name].model, model_path)
     model = load_model(spark, model_path)
     stream = read_stream(spark, raw_path, raw.schema)
@@ -599,7 +683,7 @@ def stream_matches_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def stream_high_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """High-risk events per day from the event stream; the days still open are not emitted."""
+    """High-risk events per day: closed days from the event stream, days still open from a batch."""
     out, checkpoint = (scratch_path(spark, f"windows-{part}") for part in ("out", "checkpoint"))
     schema = read_table(spark, sf_dir, "events").schema
     # a stream source takes a folder or a glob; the brackets make a glob of a single file
@@ -609,6 +693,11 @@ def stream_high_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     write_stream(high_risk_by_window(scored, "at", score="score"), out, checkpoint).awaitTermination()
     windows = spark.read.parquet(out)
+    events = read_table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("at"), (F.col("value") / (F.col("value") + 35.0)).alias("score")
+    )
+    whole = high_risk_by_window(events, "at", score="score")
+    windows = windows.unionByName(whole.join(windows, "window_start", "left_anti"))  # a row per day
     return windows.withColumns({
         c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")
     })

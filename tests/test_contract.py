@@ -6,8 +6,6 @@ import __spark_entry__ as contract
 from check_oracle import compare, connect
 
 NAMES = list(contract.queries())
-# covered in test_training_plans with the same operators
-SLOW = {"train_rf", "train_gbt", "feature_importance", "score_saved_model", "stream_scoring"}
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +22,7 @@ def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(NAMES)
 
 
-@pytest.mark.parametrize("name", [n for n in NAMES if n not in SLOW])
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, small, duck, name):
     df = contract.queries()[name](spark, small)
     sql = contract.oracle_sql().get(name)

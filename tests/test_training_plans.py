@@ -108,10 +108,11 @@ def test_comprehensive_tests_and_chart_tables(spark, run, tmp_path):
 def test_scoring_plan(spark, run, tmp_path):
     result, _ = run
     out = str(tmp_path / "scored")
-    predictions = scoring_plan.predict_pipeline(spark, result["model_path"], result["test"], out)
+    reports = scoring_plan.predict_pipeline(spark, result["model_path"], result["test"], out, 0.6)
+    predictions = reports["predictions"]
     assert spark.read.parquet(out).count() == predictions.count()
-    reports = scoring_plan.scoring_reports(predictions, data=result["test"])
     assert reports["unscored"].count() == 0
+    assert reports["high_risk"].filter("readmission_probability < 0.6").count() == 0
     assert sum(r["count"] for r in reports["summary"].collect()) == predictions.count()
     assert "actual_readmit_rate_pct" in reports["summary"].columns
     assert reports["high_risk"].count() == reports["high_risk_report"].first().high_risk
