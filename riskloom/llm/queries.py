@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.oracles import ORACLES  # noqa: F401  (part of the contract)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -94,20 +96,3 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_near_dedup": op10_near_dedup,
 }
-
-ORACLES: dict[str, str] = {
-    "op4_mtree_search": """
-        WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS e
-            FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-        ), s AS (
-            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id
-            WHERE q.vec_id % 20 = 0
-        )
-        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s)
-        WHERE r <= 20
-    """,
-}

@@ -99,7 +99,7 @@ def recompressed(names: np.ndarray, firsts: np.ndarray, rounds: int = PAIR_ROUND
         if step == 0:
             joins[1:-1] = symbol[1:] == symbol[:-1]
         else:
-            late = tb.mix(symbol ^ _K[2] * np.uint64(step)) & np.uint64(1) == 1
+            late = tb.mix(symbol ^ np.uint64(int(_K[2]) * step % (1 << 64))) & np.uint64(1) == 1
             joins[1:-1] = ~late[:-1] & late[1:]
         joins &= ~edge
         first = np.flatnonzero(~joins[:-1])
