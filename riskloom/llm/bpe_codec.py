@@ -31,8 +31,8 @@ from riskloom.llm.pieces import Memo, cuts
 
 WINDOW = 16
 #: Chunks and pieces that a worker remembers before it starts anew.
-CHUNK_MEMO = 40_000
-MEMO_PIECES = 350_000
+CHUNK_MEMO = 20_000
+MEMO_PIECES = 250_000
 _ROLL = tb.Hasher(51)
 
 

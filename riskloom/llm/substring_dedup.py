@@ -64,21 +64,13 @@ class _RangeSum:
     """Hash of word ranges by prefix sums of name * m^place, moved to place 0."""
 
     def __init__(self, multiplier: int) -> None:
-        self.m, self.inverse = multiplier | 1, pow(multiplier | 1, -1, 1 << 64)
-        self.powers = self.inverses = np.ones(1, np.uint64)
+        self.powers = tb.Powers(multiplier)
 
     def __call__(self, names: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        if len(names) >= len(self.powers):
-            n = 1 << len(names).bit_length()
-            grown = []
-            for base in (self.m, self.inverse):
-                values = np.full(n, base, np.uint64)
-                values[0] = 1
-                grown.append(np.cumprod(values, dtype=np.uint64))
-            self.powers, self.inverses = grown
+        powers, inverses = self.powers(len(names) + 1)
         sums = np.zeros(len(names) + 1, np.uint64)
-        np.cumsum(names * self.powers[: len(names)], out=sums[1:])
-        return tb.mix((sums[high] - sums[low]) * self.inverses[low] + (high - low).astype(np.uint64) * _K[3])
+        np.cumsum(names * powers[: len(names)], out=sums[1:])
+        return tb.mix((sums[high] - sums[low]) * inverses[low] + (high - low).astype(np.uint64) * _K[3])
 
 
 _NAME, _OTHER = tb.Hasher(62), tb.Hasher(63)

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; one longer text makes a larger step.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 SPACES = np.zeros(256, bool)
@@ -75,30 +75,41 @@ def spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tupl
     return starts, np.flatnonzero(finish) + 1, np.searchsorted(starts, offsets)
 
 
+class Powers:
+    """Powers of one odd multiplier and of its inverse modulo 2^64, as many as were asked for."""
+
+    def __init__(self, multiplier: int) -> None:
+        self.bases = multiplier | 1, pow(multiplier | 1, -1, 1 << 64)
+        self.tables = [np.ones(1, np.uint64)] * 2
+
+    def __call__(self, n: int) -> list[np.ndarray]:
+        if n > len(self.tables[0]):
+            n = max(1 << 16, n + n // 4)
+            for i, base in enumerate(self.bases):
+                values = np.full(n, base, np.uint64)
+                values[0] = 1
+                self.tables[i] = np.cumprod(values, dtype=np.uint64)
+        return self.tables
+
+
 class Hasher:
-    """64-bit hashes of byte spans: sums of table[byte] * m^place, moved to place 0, then mixed."""
+    """64-bit hashes of byte spans: sums of table[byte] * m^place, moved to place 0, then mixed.
+
+    Hashers differ in their tables; the powers are the worker's, once for all.
+    """
+
+    _powers = Powers(int(seeds(1, 7)[0]))
 
     def __init__(self, salt: int, lower: bool = False) -> None:
         table = seeds(256, salt)
         self.table = lowered(table) if lower else table
-        self.multiplier = int(seeds(1, salt + 7)[0]) | 1
-        self.inverse = pow(self.multiplier, -1, 1 << 64)
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if n > len(self.powers):
-            n = 1 << (n - 1).bit_length()
-            for name, base in (("powers", self.multiplier), ("inverses", self.inverse)):
-                values = np.full(n, base, np.uint64)
-                values[0] = 1
-                setattr(self, name, np.cumprod(values, dtype=np.uint64))
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self._grow(len(data) + 1)
+        powers, inverses = self._powers(len(data) + 1)
         with np.errstate(over="ignore"):
             sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(self.table[data] * self.powers[: len(data)], out=sums[1:])
-            return mix((sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64) * _GOLDEN)
+            np.cumsum(self.table[data] * powers[: len(data)], out=sums[1:])
+            return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64) * _GOLDEN)
 
 
 def shingles(words: np.ndarray, firsts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

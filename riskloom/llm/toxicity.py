@@ -150,7 +150,7 @@ class Model:
         text = code.tobytes()
         spelt = [text[a:b] for a, b in zip(offsets[near].tolist(), offsets[near + 1].tolist())]
         new = [w for w in dict.fromkeys(spelt) if w not in self.known]
-        if len(self.known) > 400_000:  # a memo only: forgotten words are computed again
+        if len(self.known) > 150_000:  # a memo only: forgotten words are computed again
             self.known, new = {}, list(dict.fromkeys(spelt))
         for i in range(0, len(new), 1000):
             part = new[i : i + 1000]
