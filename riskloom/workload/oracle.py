@@ -511,6 +511,11 @@ _from_encounters(
     "late_null_features", "count(*) AS n_rows, " + ", ".join(f"0 * count(*) AS null_{c}" for c in MEDIAN_FILL_COLUMNS), "", "cleaned", _CLEANED
 )
 ORACLES["approx_median_ranks"] = " UNION ALL ".join(f"SELECT '{c}' AS column_name, true AS within_error" for c in MEDIAN_FILL_COLUMNS)
+_from_encounters("lr_probability_check", "encounter_id, readmit_30, true AS agrees", "", "test_rows", _TEST_ROWS)
+ORACLES["tree_model_facts"] = " UNION ALL ".join(
+    f"SELECT '{model}' AS model, 100 AS n_trees, true AS depth_within, true AS importances_sum_to_one, true AS a_slot_per_importance"
+    for model in ("Random Forest", "Gradient Boosted Trees")
+)
 _from_encounters("scored_batches", "encounter_id, CAST(1 AS BIGINT) AS n", "", "test_rows", _TEST_ROWS)
 ORACLES["full_run"] = f"WITH {_TEST_ROWS} " + " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, '{model}' AS model, count(*) AS n_rows, "

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -545,6 +546,41 @@ def saved_model_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def lr_probability_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per test row: is the probability what the stored coefficients give for the encoded features?"""
+    results, test = _trained(spark, sf_dir, "Logistic Regression")
+    model = results["Logistic Regression"].model
+    weights = F.array(*[F.lit(float(c)) for c in model.stages[-1].coefficients.toArray()])
+    products = F.zip_with(vector_to_array(training.FEATURES), weights, lambda x, w: x * w)
+    margin = F.aggregate(products, F.lit(float(model.stages[-1].intercept)), lambda a, x: a + x)
+    again = 1 / (1 + F.exp(-margin))
+    scored = scoring.make_predictions(model, test)
+    return scored.select(ROW_KEY, LABEL, (F.abs(again - F.col(SCORE)) < 1e-9).alias("agrees"))
+
+
+@register
+def tree_model_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for the fitted forest and boosted trees at the standard settings."""
+    rows = []
+    for name, depth in (("Random Forest", 10), ("Gradient Boosted Trees", 5)):
+        results, test = _trained(spark, sf_dir, name)
+        fitted = results[name].model.stages[-1]
+        found = training.model_importance(results[name].model, test, None).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("below")
+        ).first()
+        rows.append({
+            "model": name, "n_trees": fitted.getNumTrees, "depth_within": max(t.depth for t in fitted.trees) <= depth,
+            "importances_sum_to_one": abs(found["total"] - 1) < 1e-9 and not found["below"],
+            "a_slot_per_importance": found["n"] == len(training.slot_names(PipelineModel(results[name].model.stages[:-1]), test)),
+        })
+    flags = ("depth_within", "importances_sum_to_one", "a_slot_per_importance")
+    schema = T.StructType().add("model", T.StringType()).add("n_trees", T.IntegerType())
+    for flag in flags:
+        schema = schema.add(flag, T.BooleanType())
+    return local_frame(spark, rows, schema)
+
+
 @register
 def scored_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test part scored in two batches appended to one table; which rows arrived, and how often."""
