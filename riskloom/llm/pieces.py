@@ -43,6 +43,19 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return out
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for, and lists the new ones."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+
 class Memo:
     """Ids of pieces, in one flat array; survives from task to task in a reused worker."""
 
@@ -65,46 +78,45 @@ class Memo:
         return cls._of[path, joint]
 
     def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.begins, self.flat, self.n = np.zeros(1, np.int64), np.zeros(0, np.uint32), 0
+        self.place = _Numbers()
+        self.begins, self.flat = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.uint32)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        texts = [p.decode() for p in pieces]
-        if not self.joint or len(self.joint_id) != 1:
-            return self.encode(texts)
-        out: list[list[int]] = []
-        for i in range(0, len(texts), 256):
-            part = texts[i : i + 256]
-            if any(self.joint in t for t in part):
-                out += self.encode(part)
-                continue
-            ids = np.array(self.encode([f" {self.joint} ".join(part)])[0], np.int64)
-            ends = np.flatnonzero(ids == self.joint_id[0])
-            split = [x.tolist() for x in np.split(ids, ends)]
-            split = [split[0], *(x[1:] for x in split[1:])]
-            out += split if len(split) == len(part) else self.encode(part)
-        return out
+    def _learn(self, pieces: list[bytes], first: int) -> None:
+        """Adds the ids of new pieces, whose numbers go on from ``first``."""
+        joint = self.joint.encode() if self.joint and len(self.joint_id) == 1 else None
+        for i in range(0, len(pieces), 256):
+            part = pieces[i : i + 256]
+            if joint and not any(joint in p for p in part):
+                ids = np.array(self.encode([(b" " + joint + b" ").join(part).decode()])[0], np.uint32)
+                apart = np.flatnonzero(ids == self.joint_id[0])
+                counts = np.diff(np.concatenate([[-1], apart, [len(ids)]])) - 1
+                if len(counts) == len(part):
+                    self._add(first + i, np.delete(ids, apart), counts)
+                    continue
+            lists = self.encode([p.decode() for p in part])
+            self._add(first + i, np.array([x for ids in lists for x in ids], np.uint32), np.array([len(x) for x in lists]))
+
+    def _add(self, number: int, ids: np.ndarray, counts: np.ndarray) -> None:
+        start = self.begins[number]
+        while start + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while number + len(counts) >= len(self.begins):
+            self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
+        self.flat[start : start + len(ids)] = ids
+        self.begins[number + 1 : number + 1 + len(counts)] = start + np.cumsum(counts)
 
     def indices(self, pieces: list[bytes]) -> np.ndarray:
         """The number of each piece in the memo; misses are encoded first."""
-        get = self.place.get
-        found = [get(p, -1) for p in pieces]
-        if -1 in found:
-            if self.n > MEMO:
-                self.forget()
-            new = [p for p in dict.fromkeys(pieces) if p not in self.place]
-            ids = self._encode_pieces(new)
-            for p in new:
-                self.place[p] = self.n
-                self.n += 1
-            sizes = np.array([len(x) for x in ids], np.int64)
-            self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
-            self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], np.uint32)])
-            found = [self.place[p] for p in pieces]
-        return np.array(found, np.int64)
+        if len(self.place) > MEMO:
+            self.forget()
+        first, new = len(self.place), self.place.new
+        found = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+        self._learn(new, first)
+        new.clear()
+        return found
 
     def ids(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the pieces in a row, and how many each has."""
