@@ -6,7 +6,7 @@ from test_near_and_lines import expected_lines
 from tokenizers import Tokenizer
 
 from riskloom.llm import decontamination
-from riskloom.llm.queries import QUERIES
+from riskloom.llm.queries import ORACLES, QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -84,6 +84,13 @@ def test_every_stage_against_brute_force(spark, folder):
     assert whole == {r.doc_id: r.n_tokens for r in docs.collect()}
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, small, name):
+    from check_oracle import compare, connect
+
+    assert compare(connect(small), QUERIES[name](spark, small), ORACLES[name]) is None
+
+
 def test_queries_are_registered():
     import __spark_entry__
 
