@@ -83,7 +83,8 @@ class Codec:
             self.pieces.clear()
             new = list(dict.fromkeys(wanted))
         for p, ids in zip(new, self.memo.encode([p.decode() for p in new])):
-            self.pieces[p] = (len(ids), "".join(f"{i}," for i in ids).encode(), b"".join([self.raw[i] for i in ids]))
+            decoded = b"".join([self.raw[i] for i in ids])
+            self.pieces[p] = (len(ids), "".join(f"{i}," for i in ids).encode(), p if decoded == p else decoded)  # one copy in memory
 
     def together(self, pieces: list[bytes]) -> tuple[int, bytes, bytes]:
         found = [self.pieces[p] for p in pieces]
