@@ -83,15 +83,10 @@ class Tree:
         bound = np.full(open_.shape, -np.inf)
         bound[:, asked] = q[rows] @ self.centres[first + asked].T + norm[rows, None] * self.radii[first + asked] + slack[rows, None]
         bound[~open_] = -np.inf
-        order = np.argsort(-bound, axis=1, kind="stable")
-        for turn in range(len(asked)):
-            leaf = order[:, turn]
-            best = bound[np.arange(len(rows)), leaf]
-            active = np.flatnonzero((best >= score[rows, -1]) & (best > -np.inf))
-            if not len(active):
-                break
-            for m in np.unique(leaf[active]):
-                self._page(first + m, rows[active[leaf[active] == m]], q, queries, score, entry)
+        for m in asked[np.argsort(-bound[:, asked].max(axis=0), kind="stable")]:  # best bound of the group first
+            active = np.flatnonzero((bound[:, m] >= score[rows, -1]) & (bound[:, m] > -np.inf))
+            if len(active):
+                self._page(first + m, rows[active], q, queries, score, entry)
 
     def _page(self, leaf, rows, q, queries, score, entry) -> None:
         a, b = self.ends[leaf], self.ends[leaf + 1]
@@ -158,8 +153,8 @@ def _searched(width: int, k: int):
             tree = Tree(_matrix(entries.column("vector"), width), entries.column("ids").to_pylist())
             query, scores, ids = [], [], []
             numbers = asked.column("query").to_pylist()
-            for low in range(0, asked.num_rows, 256):
-                for number, found in zip(numbers[low:], tree.search(_matrix(asked.column("vector").slice(low, 256), width), k + 1)):
+            for low in range(0, asked.num_rows, QUERIES):
+                for number, found in zip(numbers[low:], tree.search(_matrix(asked.column("vector").slice(low, QUERIES), width), k + 1)):
                     for score, entry in found:
                         query.append(number)
                         scores.append(score)
