@@ -1,13 +1,19 @@
-"""Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, connected groups.
+"""Fuzzy line deduplication: gram sketches, buckets, edit similarity, connected groups.
 
 A line is normalised: A-Z lower-cased, digits read as 0, every run of other ASCII
-characters one space. Lines with fewer than ``min_words`` words stay untouched. Equal
-normalised lines are one class. Two classes are linked if their 64-bit SimHashes over
-distinct words differ in at most ``BLOCKS - CLEAN`` bits and their edit similarity
-(1 - Levenshtein distance / longer length, of the normalised lines) is at least
-``similarity``. If two hashes of ``BLOCKS`` blocks differ in at most that many bits,
-``CLEAN`` blocks are equal, so a join on all choices of ``CLEAN`` blocks misses no pair.
-Of each connected group the occurrence with the smallest (doc_id, line number) stays.
+characters one space. Lines with fewer than ``min_words`` words stay untouched, and so
+does a line without any. Equal normalised lines are one class. Two classes are linked if
+their edit similarity (1 - Levenshtein distance / longer length, of the normalised lines'
+bytes) is at least ``similarity``. Of each connected group the occurrence with the
+smallest (doc_id, line number) stays.
+
+Candidates come from buckets. With a shorter line of ``SHORT`` bytes at most, the pieces
+of its length (one more than edits may be) are looked up at every place to which the
+edits can move them, so no pair is missed; letter counts, which an edit changes by two
+at most, sieve them. Longer lines have a sketch of ``COORDS`` minima over runs of
+``GRAM`` bytes, of which an edit touches ``GRAM``; lines of like length that agree in one
+of ``TRIPLES`` and in ``AGREE`` coordinates are candidates. README has the measured
+recall. All pairs of a cluster of candidates are compared by Levenshtein distance.
 
 Defined results: null text stays null, has no lines; empty lines stay; a document may lose all its lines
 and then has an empty text; rows that share a ``doc_id`` are one document and a line at
@@ -17,8 +23,9 @@ stay as they are. Only ``doc_id`` and ``text`` are read; other columns pass thro
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +34,11 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import textbytes as tb
 from riskloom.llm.clusters import linked_components, spanning
-from riskloom.llm.tables import BROADCAST_ROWS, Scratch, small
+from riskloom.llm.tables import BROADCAST_ROWS, Scratch, freed, small
 
-BLOCKS, CLEAN = 5, 2
+SHORT, GRAM, COORDS, AGREE = 39, 5, 32, 10
+#: Coordinates of the buckets; so many of them are dealt at once.
+TRIPLES, AT_ONCE = np.concatenate([np.argsort(tb.seeds(COORDS, 31 + i))[:30].reshape(-1, 3) for i in range(4)])[:32], 4
 
 #: Bytes that belong to words: letters, digits, and all of non-ASCII characters.
 _WORD = np.zeros(256, bool)
@@ -78,7 +87,7 @@ def normalised(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
 def simhashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """SimHash of each normalised line over its distinct words; 0 without words.
 
-    Counted once each, the few words that fill every line of a language don't decide it.
+    No step reads it: one edited letter moves a whole word's bits. The tests of the former rule do.
     """
     starts, ends, firsts = tb.spans(data, offsets, tb.SPACES)
     out = np.zeros(len(offsets) - 1, np.uint64)
@@ -92,7 +101,76 @@ def simhashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _lines(min_words: int):
+def most_edits(length: int, similarity: float) -> int:
+    """Edits that two lines at ``similarity`` may be apart if the longer one has ``length`` bytes."""
+    return int((1 - similarity) * length + 1e-9)
+
+
+@cache
+def _pieces_of(length: int, similarity: float) -> np.ndarray:
+    """(name, start, end) of the pieces of a line of ``length`` bytes, as the shorter and as the longer line of a pair."""
+    out = []
+    for shorter in range(1, min(length, SHORT) + 1):
+        most, longer = most_edits(length, similarity), length - shorter
+        widest = max(n for n in range(shorter, 4 * SHORT) if n - shorter <= most_edits(n, similarity))
+        pieces = most_edits(widest, similarity) + 1
+        if pieces == 1 or longer > most:
+            continue
+        cuts = [shorter * i // pieces for i in range(pieces + 1)]
+        moves = range(-((most - longer) // 2), (most + longer) // 2 + 1)
+        for i in range(pieces):
+            for move in moves:
+                if 0 <= cuts[i] + move and cuts[i + 1] + move <= length:
+                    out.append((shorter * 64 + i, cuts[i] + move, cuts[i + 1] + move))
+    return np.array(out, np.int64).reshape(-1, 3)
+
+
+def piece_keys(data: np.ndarray, offsets: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(line, odd key) of every piece of the lines that may have a shorter partner of ``SHORT`` bytes or be it."""
+    size = np.diff(offsets)
+    lines, names, starts, ends = ([np.zeros(0, np.int64)] for _ in range(4))
+    for n in np.unique(size[size <= int(SHORT / similarity + 1e-9)]).tolist():
+        at, table = np.flatnonzero(size == n), _pieces_of(n, similarity)
+        lines.append(np.repeat(at, len(table)))
+        for into, column in ((names, table[:, 0]), (starts, table[:, 1]), (ends, table[:, 2])):
+            into.append((column + offsets[at][:, None] * (into is not names)).ravel())
+    line, name, start, end = map(np.concatenate, (lines, names, starts, ends))
+    return line, (tb.mix(_FEATURE(data, start, end) ^ tb.mix(name.astype(np.uint64))) | np.uint64(1)).view(np.int64)
+
+
+def letter_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sixteen counts, up to 15, of a line's bytes modulo 16, in one number."""
+    line = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    counts = np.minimum(np.bincount(line * 16 + data[offsets[0] : offsets[-1]] % 16, minlength=16 * (len(offsets) - 1)), 15).reshape(-1, 16).astype(np.uint8)
+    return _packed(counts)
+
+
+def _packed(nibbles: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(nibbles[:, ::2] | nibbles[:, 1::2] << 4).view(np.int64).ravel()
+
+
+def sketches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """``COORDS`` bytes per line of ``GRAM`` bytes or more: the smallest hash of the runs that fall to each coordinate.
+
+    A coordinate without runs takes another's value, in an order that is the same for all lines.
+    """
+    n = np.diff(offsets) - GRAM + 1
+    owner = np.repeat(np.arange(len(n)), n)
+    starts = np.arange(len(owner)) + np.repeat(offsets[:-1] - np.cumsum(n) + n, n)
+    hashed = _FEATURE(data, starts, starts + GRAM)
+    full, empty = np.full(len(n) * COORDS, 0xFFFFFFFF, np.uint32), np.uint32(0xFFFFFFFF)
+    np.minimum.at(full, owner * COORDS + (hashed >> np.uint64(59)).astype(np.int64), np.minimum(hashed & np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFE)).astype(np.uint32))
+    full = full.reshape(-1, COORDS)
+    first, (row, column), turn = full.copy(), np.nonzero(full == empty), 0
+    while len(row):
+        other = (column + turn) % COORDS if turn > 64 else (tb.mix(column * 1000 + turn) % np.uint64(COORDS)).astype(np.int64)
+        full[row, column] = first[row, other]
+        left = full[row, column] == empty
+        row, column, turn = row[left], column[left], turn + 1
+    return (tb.mix(full) & np.uint64(0xFF)).astype(np.uint8)
+
+
+def _lines(min_words: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = tb.Hasher(5), tb.Hasher(6)
         for batch in batches:
@@ -100,36 +178,82 @@ def _lines(min_words: int):
                 data, offsets = tb.utf8(part.column("text"))
                 starts, ends, text, number = line_spans(data, offsets)
                 plain, cuts, words = normalised(data, starts, ends)
-                long = np.flatnonzero(words >= min_words)
-                h1, h2 = first(plain, cuts[long], cuts[long + 1]), second(plain, cuts[long], cuts[long + 1])
-                sims = simhashes(plain, cuts)[long]
+                some = np.flatnonzero(words >= max(min_words, 1))
+                h1, h2 = first(plain, cuts[some], cuts[some + 1]), second(plain, cuts[some], cuts[some + 1])
+                size = np.diff(cuts)[some]
+                kept = np.flatnonzero(size > SHORT)
+                sketch = np.zeros((len(some), COORDS // 8), np.int64)
+                if len(kept):
+                    at = some[kept]
+                    span = np.repeat(cuts[at] - np.cumsum(size[kept]) + size[kept], size[kept]) + np.arange(size[kept].sum())
+                    sketch[kept] = sketches(plain[span], np.concatenate([[0], np.cumsum(size[kept])])).view(np.int64)
+                line, keys = piece_keys(plain, cuts, similarity)
+                order = np.argsort(line, kind="stable")
+                begins = np.searchsorted(line[order], np.arange(len(cuts)))
+                counts = letter_counts(plain, cuts)[some]
+                pieces = [keys[order[begins[i] : begins[i + 1]]] for i in some]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(text[long])), pa.array(number[long].astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (h1, h2, sims))],
-                    ["doc_id", "line", "node", "check", "sim"],
+                    [
+                        part.column("doc_id").take(pa.array(text[some])), pa.array(number[some].astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
+                        pa.array(size.astype(np.int32)), *(pa.array(np.ascontiguousarray(x)) for x in sketch.T), pa.array(counts),
+                        pa.ListArray.from_arrays(np.cumsum([0, *map(len, pieces)]).astype(np.int32), pa.array(np.concatenate([np.zeros(0, np.int64), *pieces]))),
+                    ],
+                    ["doc_id", "line", "node", "check", "size", *_SKETCH, "counts", "pieces"],
                 )
 
     return run
 
 
-def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, sim, node) sorted by key: edges that span each key's groups of close hashes."""
-    held = [np.zeros(0, np.int64)] * 3
-    for batch in batches:
-        now = [batch.column(i).to_numpy() for i in range(3)]
-        if not len(now[0]):
-            continue
-        rows = [np.concatenate(x) for x in zip(held, now)]
-        whole = int(np.searchsorted(rows[0], rows[0][-1]))  # the last key may go on
-        held = [x[whole:] for x in rows]
-        yield _edges(*(x[:whole] for x in rows))
-    yield _edges(*held)
+_SKETCH = [f"s{i}" for i in range(COORDS // 8)]
 
 
-def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count((a ^ b).view(np.uint64)) <= BLOCKS - CLEAN
+def _banded(picked: range):
+    """Even keys of some triples, with the whole sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketch = np.stack([batch.column(c).to_numpy() for c in _SKETCH], axis=1).view(np.uint8).reshape(-1, COORDS)
+            step, node = batch.column("step").to_numpy(), batch.column("node").to_numpy()
+            whole = [batch.column(c) for c in _SKETCH]
+            for i in picked:
+                key = tb.mix(((step + i % 2) // 2).astype(np.uint64) << np.uint64(8) | np.uint64(i))
+                for c in TRIPLES[i]:
+                    key = tb.mix(key ^ sketch[:, c])
+                yield pa.RecordBatch.from_arrays([pa.array((key & ~np.uint64(1)).view(np.int64)), *whole, pa.array(node)], ["key", *_SKETCH, "node"])
+
+    return run
+
+
+def _close_pairs(apart: int):
+    """Of rows (key, sketch or counts, node) sorted by key: edges that span each key's groups of close lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64), np.zeros((0, len(_SKETCH)), np.int64), np.zeros(0, np.int64)]
+        for batch in batches:
+            now = [batch.column("key").to_numpy(), np.stack([batch.column(c).to_numpy() for c in _SKETCH], axis=1), batch.column("node").to_numpy()]
+            if not len(now[0]):
+                continue
+            rows = [np.concatenate(x) for x in zip(held, now)]
+            whole = int(np.searchsorted(rows[0], rows[0][-1]))  # the last key may go on
+            held = [x[whole:] for x in rows]
+            yield _edges(*(x[:whole] for x in rows), apart=apart)
+        yield _edges(*held, apart=apart)
+
+    return run
+
+
+def _near(key: np.ndarray, a: np.ndarray, b: np.ndarray, apart: int) -> np.ndarray:
+    """Odd keys: letter counts at most ``apart`` from each other. Even keys: ``AGREE`` like coordinates."""
+    a, b = a.reshape(len(a), -1), b.reshape(-1, a[:1].size)
+    out = (a.view(np.uint8) == b.view(np.uint8)).sum(axis=1) >= AGREE
+    odd = np.flatnonzero(np.broadcast_to(key & 1, out.shape))
+    if len(odd):
+        a, b = (np.broadcast_to(x[:, 0], out.shape)[odd] for x in (a, b))
+        out[odd] = sum(np.abs((a >> shift & 15) - (b >> shift & 15)) for shift in range(0, 64, 4)) <= apart
+    return out
 
 
-def _edges(key: np.ndarray, sim: np.ndarray, node: np.ndarray, wide: int = 32) -> pa.RecordBatch:
+def _edges(key: np.ndarray, sim: np.ndarray, node: np.ndarray, wide: int = 32, apart: int = 8) -> pa.RecordBatch:
     a, b = [], []
     bounds = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]) if len(key) else np.zeros(1, np.int64)
     size = np.repeat(np.diff(bounds), np.diff(bounds))
@@ -139,7 +263,7 @@ def _edges(key: np.ndarray, sim: np.ndarray, node: np.ndarray, wide: int = 32) -
         narrow = narrow[key[narrow] == key[narrow + lag]]
         if not len(narrow):
             break
-        hit = narrow[_near(sim[narrow], sim[narrow + lag])]
+        hit = narrow[_near(key[narrow], sim[narrow], sim[narrow + lag], apart)]
         a.append(node[hit])
         b.append(node[hit + lag])
     for first, last in zip(bounds[:-1], bounds[1:]):
@@ -149,7 +273,7 @@ def _edges(key: np.ndarray, sim: np.ndarray, node: np.ndarray, wide: int = 32) -
                 front, rest = [rest[0]], rest[1:]
                 while front and len(rest):
                     here = front.pop()
-                    hit = _near(sim[rest], sim[here])
+                    hit = _near(key[here], sim[rest], sim[here : here + 1], apart)
                     a.append(np.full(hit.sum(), node[here]))
                     b.append(node[rest[hit]])
                     front.extend(rest[hit])
@@ -189,16 +313,21 @@ def edit_distance(a: bytes, b: bytes) -> int:
 
 
 def edit_links(similarity: float):
-    def verify(nodes: list[int], payloads: list[bytes]) -> list[tuple[int, int]]:
-        sims = np.array([int.from_bytes(p[:8], "little") for p in payloads], np.uint64)
-        texts = [p[8:] for p in payloads]
+    def verify(nodes: list[int], texts: list[bytes]) -> list[tuple[int, int]]:
+        sizes = np.array([len(t) for t in texts])
+        # an edit changes at most four counts of byte pairs by one
+        counts = np.zeros((len(texts), 256), np.int16)
+        for row, t in zip(counts, texts):
+            b = np.frombuffer(t, np.uint8).astype(np.int64)
+            row[:] = np.minimum(np.bincount((b[1:] * 31 + b[:-1]) & 255, minlength=256), 32_000)
         group = np.arange(len(nodes))
         pairs = []
         for i in range(len(nodes)):
-            for j in (i + 1 + np.flatnonzero(_near(sims[i + 1 :], sims[i]))).tolist():
-                longer = max(len(texts[i]), len(texts[j]))
-                most = int((1 - similarity) * longer + 1e-9)
-                if group[i] != group[j] and abs(len(texts[i]) - len(texts[j])) <= most and edit_distance(texts[i], texts[j]) <= most:
+            most = np.floor((1 - similarity) * np.maximum(sizes[i + 1 :], sizes[i]) + 1e-9).astype(np.int64)
+            open_ = i + 1 + np.flatnonzero((group[i + 1 :] != group[i]) & (np.abs(sizes[i + 1 :] - sizes[i]) <= most))
+            open_ = open_[np.abs(counts[open_] - counts[i]).sum(axis=1, dtype=np.int64) <= 4 * most[open_ - i - 1]]
+            for j in open_.tolist():
+                if group[i] != group[j] and edit_distance(texts[i], texts[j]) <= most[j - i - 1]:
                     group[group == group[j]] = group[i]
                     pairs.append((i, j))
         return spanning(nodes, pairs)
@@ -207,7 +336,7 @@ def edit_links(similarity: float):
 
 
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Payload (SimHash and normalised line) of the lines that ``wanted`` names, if the text still has them."""
+    """Payload, the normalised line, of the lines that ``wanted`` names, if the text still has them."""
     first = tb.Hasher(5)
     for batch in batches:
         for part in tb.steps(batch, "text"):
@@ -224,7 +353,7 @@ def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                         ends_ = np.array([0, len(line)])
                         if int(first(line, ends_[:1], ends_[1:]).view(np.int64)[0]) == w["node"]:
                             nodes.append(w["node"])
-                            payloads.append(simhashes(line, ends_).tobytes() + line.tobytes())
+                            payloads.append(line.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(payloads, pa.binary())], ["node", "payload"])
 
 
@@ -233,24 +362,36 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.9, min_words: int = 3)
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL")
-    lines = scratch.store(texts.mapInArrow(_lines(min_words), "doc_id long, line int, node long, check long, sim long"))
+    longs = ", ".join(f"{c} long" for c in _SKETCH)
+    schema = f"doc_id long, line int, node long, check long, size int, {longs}, counts long, pieces array<long>"
+    found = scratch.store(texts.mapInArrow(_lines(min_words, similarity), schema))
+    lines = found.select("doc_id", "line", "node", "check")
     place = F.struct("doc_id", "line")
-    classes = scratch.store(lines.groupBy("node", "check").agg(F.min(place).alias("first"), F.min("sim").alias("sim")))
-    alike = classes.groupBy("sim").agg(F.min("node").alias("leader"))
-    same = classes.join(alike, "sim").filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    width = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
-    masks = [sum((1 << width[i + 1]) - (1 << width[i]) for i in pick) for pick in combinations(range(BLOCKS), CLEAN)]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.array(*(F.xxhash64(F.lit(i), F.col("sim").bitwiseAND(F.lit(m))) for i, m in enumerate(signed)))
-    keyed = alike.select(F.explode(keys).alias("key"), "sim", F.col("leader").alias("node"))
-    close = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_close_pairs, "a long, b long")
-    candidates = scratch.store(same.unionByName(close).distinct())
+    classes = scratch.store(found.groupBy("node", "check").agg(F.min(place).alias("first"), *(F.first(c).alias(c) for c in ("size", *_SKETCH, "counts", "pieces"))))
+    # two lines of a pair are one step apart at most, and every other triple joins the steps in the other way
+    step = F.floor(F.log("size") / F.lit(1e-6 - math.log(similarity))).cast("long").alias("step")
+    long = classes.filter(F.col("size") > SHORT).select("node", *_SKETCH, step)
+    alike = scratch.store(long.groupBy(*_SKETCH, "step").agg(F.min("node").alias("leader"), F.count("*").alias("n")))
+    same = long.join(alike.filter("n > 1"), [*_SKETCH, "step"]).filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    apart = 2 * most_edits(int(SHORT / similarity + 1e-9), similarity)
+
+    def close(keyed: DataFrame) -> DataFrame:
+        out = scratch.store(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_close_pairs(apart), "a long, b long").distinct())
+        freed(spark)
+        return out
+
+    leaders = alike.select(*_SKETCH, "step", F.col("leader").alias("node"))
+    pairs = [close(classes.select(F.explode("pieces").alias("key"), F.col("counts").alias(_SKETCH[0]), *(F.lit(0).cast("long").alias(c) for c in _SKETCH[1:]), "node"))]
+    for i in range(0, len(TRIPLES), AT_ONCE):
+        pairs.append(close(leaders.mapInArrow(_banded(range(i, i + AT_ONCE)), f"key long, {longs}, node long")))
+    candidates = scratch.store(reduce(DataFrame.unionByName, pairs, same).distinct())
+    scratch.drop(alike, *pairs)
 
     def payload_of(nodes: DataFrame) -> DataFrame:
         at = nodes.join(classes, "node").select("first.doc_id", F.struct(F.col("first.line").alias("line"), "node").alias("w"))
         wanted = small(scratch.store(at.groupBy("doc_id").agg(F.collect_list("w").alias("wanted"))))
-        found = texts.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_wanted_lines, "node long, payload binary")
-        return found.groupBy("node").agg(F.min("payload").alias("payload"))
+        wanted = texts.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_wanted_lines, "node long, payload binary")
+        return wanted.groupBy("node").agg(F.min("payload").alias("payload"))
 
     roots = linked_components(scratch, candidates, payload_of, edit_links(similarity))
     grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -258,7 +399,7 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.9, min_words: int = 3)
     named = grouped.select("node", "check", "root").join(kept, "root").select("node", "check", "kept")
     gone = lines.join(named, ["node", "check"]).filter(place != F.col("kept"))
     out = scratch.store(gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")))
-    scratch.drop(lines, classes, kept, candidates)
+    scratch.drop(found, classes, kept, candidates)
     return out
 
 

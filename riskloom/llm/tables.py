@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,12 @@ class Scratch:
                 where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def freed(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of frames that are no longer referred to."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if a count proves it small; else as it is, for a shuffled join.
 

@@ -159,3 +159,51 @@ def test_close_hashes_in_a_wide_bucket():
     edges = line_dedup._edges(np.zeros(200, np.int64), sim, sim)
     narrow = line_dedup._edges(np.zeros(200, np.int64), sim, sim, wide=1000)
     assert set(roots(range(200), zip(*(c.to_pylist() for c in edges))).values()) == set(roots(range(200), zip(*(c.to_pylist() for c in narrow))).values())
+
+
+def edited(rnd, line, edits):
+    out = list(line)
+    for _ in range(edits):
+        i, c = rnd.randrange(len(out)), rnd.choice("abcdefghij")
+        out[i : i + rnd.randint(0, 1)] = rnd.choice([[c], [c], []]) if len(out) > 9 else [c]
+    return "".join(out)
+
+
+def levenshtein_lines(rows, min_words):
+    """{doc_id: removed line numbers} by edit similarity 0.9 alone."""
+    lines = {(d, i): " ".join(normal(x)).encode("latin-1") for d, t in rows for i, x in enumerate(t.split("\n")) if len(normal(x)) >= min_words}
+    texts = sorted(set(lines.values()))
+    links = [
+        (a, b) for i, a in enumerate(texts) for b in texts[i + 1 :]
+        if abs(len(a) - len(b)) <= (most := int(0.1 * max(len(a), len(b)) + 1e-9)) and line_dedup.edit_distance(a, b) <= most
+    ]
+    group, first, out = roots(texts, links), {}, {}
+    for p in sorted(lines):
+        if first.setdefault(group[lines[p]], p) != p:
+            out.setdefault(p[0], []).append(p[1])
+    return out
+
+
+def test_edited_lines_equal_levenshtein_alone(spark):
+    rnd, rows = random.Random(5), []
+    for k in range(120):
+        line = "".join(rnd.choices("etaoin shrdlu", weights=[6, 5, 5, 4, 4, 4, 9, 3, 3, 3, 3, 2, 2], k=rnd.randint(8, 240))).strip() + "x y z"
+        rows.append((k, "\n".join([line, edited(rnd, line, 1), edited(rnd, line, max(1, len(line) // 20))])))
+    wanted = levenshtein_lines(rows, 3)
+    assert sum(map(len, wanted.values())) > 200
+    assert {r.doc_id: r.removed for r in line_dedup.repeated_lines(frame(spark, rows)).collect()} == wanted
+
+
+def test_short_pairs_share_a_piece():
+    rnd = random.Random(6)
+    for _ in range(3000):
+        a = "".join(rnd.choices("abcdefgh ", k=rnd.randint(9, 43)))
+        b = edited(rnd, a, rnd.randint(1, 4))
+        longer = max(len(a), len(b))
+        if min(len(a), len(b)) > line_dedup.SHORT or levenshtein(a, b) > line_dedup.most_edits(longer, 0.9):
+            continue
+        data, cuts = np.frombuffer((a + b).encode(), np.uint8), np.array([0, len(a), len(a) + len(b)])
+        line, keys = line_dedup.piece_keys(data, cuts, 0.9)
+        assert set(keys[line == 0]) & set(keys[line == 1]), (a, b)
+        counts = line_dedup.letter_counts(data, cuts)
+        assert line_dedup._near(np.ones(1, np.int64), counts[:1], counts[1:], 8)[0]
