@@ -31,7 +31,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
-    removed = repeated_lines(docs)
+    removed = repeated_lines(docs, min_words=1)
     kept = without_lines(docs.withColumn("n_lines", lines), removed)
     return kept.select("doc_id", "n_lines", F.col("__n_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 

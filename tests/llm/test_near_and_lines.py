@@ -207,3 +207,12 @@ def test_short_pairs_share_a_piece():
         assert set(keys[line == 0]) & set(keys[line == 1]), (a, b)
         counts = line_dedup.letter_counts(data, cuts)
         assert line_dedup._near(np.ones(1, np.int64), counts[:1], counts[1:], 8)[0]
+
+
+def test_stage_drops_repeats_of_short_lines_and_of_scripts_without_spaces(spark):
+    import corpus_pipeline
+
+    chinese = "今天天气很好我们去公园散步吧"
+    rows = [(1, f"Menu\nHome page\n{chinese}\n--\n\nMenu"), (2, f"menu\nhome  PAGE!\n{chinese}\n--\n\nother"), (3, chinese.replace("公", "花") + "\nMenus")]
+    after = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, frame(spark, rows), "").collect()}
+    assert after == {1: f"Menu\nHome page\n{chinese}\n--\n", 2: "--\n\nother", 3: "Menus"}
