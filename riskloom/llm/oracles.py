@@ -42,6 +42,48 @@ def _license() -> str:
     """
 
 
+def _anchor_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """The refinement rounds written out one after another."""
+    step = []
+    for i in range(rounds + 1):
+        step.append(f"""
+            near{i} AS MATERIALIZED (
+                SELECT r, part, min({entries} * CAST(list_sum(list_transform(list_zip(p.c, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) + entry) AS m
+                FROM p JOIN book{i} b USING (part) GROUP BY r, part
+            )""")
+        if i < rounds:
+            step.append(f"""
+            sums{i} AS (
+                SELECT part, entry, spot, sum(x) AS s, count(*) AS n
+                FROM (SELECT part, m % {entries} AS entry, unnest(c) AS x, unnest(range(len(c))) AS spot FROM near{i} JOIN p USING (r, part))
+                GROUP BY part, entry, spot
+            ),
+            book{i + 1} AS MATERIALIZED (
+                SELECT part, entry, coalesce(mean, b.c) AS c
+                FROM book{i} b LEFT JOIN (
+                    SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY spot) AS mean FROM sums{i} GROUP BY part, entry
+                ) USING (part, entry)
+            )""")
+    return f"""
+        WITH v AS (
+            SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, e) AS r, vec_id, label, e
+            FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {scale}) AS BIGINT)) AS e FROM embeddings
+                  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+        ),
+        p AS MATERIALIZED (
+            SELECT r, part, list_slice(e, part * len(e) // {parts} + 1, (part + 1) * len(e) // {parts}) AS c FROM v, range({parts}) AS t(part)
+        ),
+        book0 AS (SELECT part, r - 1 AS entry, c FROM p WHERE r <= {entries}), {",".join(step)},
+        coded AS (
+            SELECT r, string_agg(printf('%02x', m % {entries}), '' ORDER BY part) AS code, CAST(sum(m // {entries}) AS BIGINT) AS error
+            FROM near{rounds} GROUP BY r
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM book{rounds}) AS codebooks_sha256
+        FROM v JOIN coded USING (r)
+    """
+
+
 ORACLES = {
     "op1_license_scan": _license(),
     "op4_mtree_search": """
@@ -74,6 +116,23 @@ ORACLES = {
         SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op12_fill_middle": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        g AS (SELECT *, CAST(length(t) AS BIGINT) AS n, list_transform(range(4), lambda i: CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT)) AS w FROM d),
+        k AS (
+            SELECT *, least(w[1] % (n + 1), w[2] % (n + 1)) AS a, greatest(w[1] % (n + 1), w[2] % (n + 1)) AS b,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR w[3] % 100 >= 90 THEN 'plain'
+                        WHEN w[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM g
+        ),
+        c AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM k)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM c
+    """,
+    "op13_anchor_codes": _anchor_codes(),
     "op9_decontamination": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
         ds AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s

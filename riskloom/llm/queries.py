@@ -84,6 +84,34 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=3, share=(85, 100))
 
 
+def op11_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.secret_spans import BASE_KINDS, joined, of_kinds, secret_spans
+
+    counts = [F.size(of_kinds("spans", kind)).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS]
+    base = joined(of_kinds("spans", *BASE_KINDS))
+    return secret_spans(_table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), joined("spans").alias("spans")
+    )
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.fill_middle import middle_examples, restored
+
+    made = middle_examples(_table(spark, sf_dir, "documents"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(restored(), 256)}
+    return made.withColumns(digests).drop("output")
+
+
+def op13_anchor_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm.anchor_codes import codebook_digest, compressed, with_label_error
+
+    codes, codebooks = compressed(_table(spark, sf_dir, "embeddings"))
+    pairs = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return with_label_error(codes).select(
+        "vec_id", pairs.alias("code"), "error", "label_error", F.lit(codebook_digest(codebooks)).alias("codebooks_sha256")
+    )
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_kd_shards": op3_kd_shards,
@@ -95,4 +123,7 @@ QUERIES = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_decontamination": op9_decontamination,
     "op10_near_dedup": op10_near_dedup,
+    "op11_secret_spans": op11_secret_spans,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_anchor_codes": op13_anchor_codes,
 }
