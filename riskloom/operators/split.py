@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,13 +126,18 @@ def class_weight_table(df: DataFrame, label: str = LABEL) -> DataFrame:
     return class_counts(df.filter(F.col(label).isNotNull()), label).withColumn("weight", balanced)
 
 
-def calculate_class_weights(df: DataFrame, label: str = LABEL) -> tuple[float, float]:
-    """Weights of class 0 and class 1."""
-    weights = {row[label]: row["weight"] for row in class_weight_table(df, label).filter(F.col(label).isin(0, 1)).collect()}
-    absent = [c for c in (0, 1) if c not in weights]
+def class_weights(counts: Mapping[int, int], label: str = LABEL) -> tuple[float, float]:
+    """Balanced weights of class 0 and class 1 from the row counts of all classes; rows without a label don't count."""
+    known = {c: n for c, n in counts.items() if c is not None}
+    absent = [c for c in (0, 1) if not known.get(c)]
     if absent:
         raise ValueError(f"cannot weight classes: no rows with {label} in {absent}")
-    return weights[0], weights[1]
+    return tuple(sum(known.values()) / (len(known) * known[c]) for c in (0, 1))
+
+
+def calculate_class_weights(df: DataFrame, label: str = LABEL) -> tuple[float, float]:
+    """Weights of class 0 and class 1."""
+    return class_weights({row[label]: row["n"] for row in class_counts(df, label).collect()}, label)
 
 
 def add_sample_weights(

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.comparison import ModelResult
+from riskloom.operators.layout import ROWS_PER_TASK, dealt
 from riskloom.operators.scoring import make_predictions
-from riskloom.operators.split import add_sample_weights, calculate_class_weights
+from riskloom.operators.split import add_sample_weights, class_counts, class_weights
 from riskloom.schemas import ENTITY_KEY, LABEL, ROW_KEY, SPLIT_SEED
 from riskloom.session import ensure_checkpoint_dir, local_frame
 
@@ -86,6 +87,32 @@ def make_classifier(name: str, label: str = LABEL, weight: str | None = WEIGHT,
     return CLASSIFIERS[name](**settings)
 
 
+def training_rows(
+    train_df: DataFrame,
+    numeric_features: Sequence[str],
+    binary_features: Sequence[str],
+    categorical_features: Sequence[str],
+    label: str = LABEL,
+    keys: Sequence[str] = (ENTITY_KEY, ROW_KEY),
+    rows_per_task: int = ROWS_PER_TASK,
+) -> tuple[DataFrame, PipelineModel]:
+    """Encoded and weighted training rows, dealt to tasks and kept on the executors, and the fitted feature stages."""
+    wanted = [*numeric_features, *binary_features, *categorical_features]
+    columns = [*[c for c in keys if c in train_df.columns and c not in wanted], *wanted, label]
+    pruned = train_df.select(*columns)
+    counts = {row[label]: row["n"] for row in class_counts(pruned, label).collect()}
+    laid = dealt(pruned, columns, sum(counts.values()), rows_per_task)
+    weighted = add_sample_weights(laid, *class_weights(counts, label), label).persist(StorageLevel.MEMORY_AND_DISK)
+    pipeline, _ = create_feature_pipeline(numeric_features, binary_features, categorical_features)
+    try:
+        encoder = pipeline.fit(weighted)
+        rows = encoder.transform(weighted).select(FEATURES, label, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
+        rows.count()
+    finally:
+        weighted.unpersist()
+    return rows, encoder
+
+
 def train_all_models(
     train_df: DataFrame,
     test_df: DataFrame,
@@ -96,32 +123,28 @@ def train_all_models(
     label: str = LABEL,
     keys: Sequence[str] = (ENTITY_KEY, ROW_KEY),
     max_categories: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> tuple[dict[str, ModelResult], PipelineModel]:
     """Fit the feature stages and every classifier on the training part only.
 
     ``models`` maps the names to train to setting overrides; the default is all
     three. Each result holds a whole pipeline (feature stages and classifier), which
     scores prepared rows after being saved and loaded, and lazy predictions for the
-    test part. The encoded training vectors are kept on the executors during the
-    fits, and rebuilt from the source if an executor is lost. All labels of a category
-    column reach the driver, as indexing needs them; ``max_categories`` refuses more.
+    test part. Training rows are dealt to tasks of about ``rows_per_task`` rows by their
+    keys, so that what is fitted doesn't depend on the files they came from; the encoded
+    vectors are kept on the executors during the fits, and rebuilt from the source if an
+    executor is lost. All labels of a category column reach the driver, as indexing needs
+    them; ``max_categories`` refuses more.
     """
     models = models if models is not None else {name: {} for name in MODEL_SETTINGS}
     ensure_checkpoint_dir(train_df.sparkSession)
     check_category_sizes(train_df, categorical_features, max_categories)
     wanted = [*numeric_features, *binary_features, *categorical_features]
-    pruned = train_df.select(*wanted, label)
-    weighted = add_sample_weights(pruned, *calculate_class_weights(pruned, label), label)
-
-    pipeline, _ = create_feature_pipeline(numeric_features, binary_features, categorical_features)
-    encoder = pipeline.fit(weighted)
-    encoded = encoder.transform(weighted).select(FEATURES, label, WEIGHT).persist(StorageLevel.MEMORY_AND_DISK)
+    rows, encoder = training_rows(train_df, numeric_features, binary_features, categorical_features, label, keys, rows_per_task)
     try:
-        fitted = {
-            name: make_classifier(name, label, **overrides).fit(encoded) for name, overrides in models.items()
-        }
+        fitted = {name: make_classifier(name, label, **overrides).fit(rows) for name, overrides in models.items()}
     finally:
-        encoded.unpersist()
+        rows.unpersist()
 
     present = [c for c in (*keys, label) if c in test_df.columns]
     test_rows = test_df.select(*present, *[c for c in wanted if c not in present])

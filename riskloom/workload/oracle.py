@@ -512,6 +512,13 @@ _from_encounters(
 )
 ORACLES["approx_median_ranks"] = " UNION ALL ".join(f"SELECT '{c}' AS column_name, true AS within_error" for c in MEDIAN_FILL_COLUMNS)
 _from_encounters("lr_probability_check", "encounter_id, readmit_30, true AS agrees", "", "test_rows", _TEST_ROWS)
+ORACLES["tree_score_check"] = f"WITH {_TEST_ROWS} " + " UNION ALL ".join(
+    f"SELECT '{model}' AS model, encounter_id, readmit_30, true AS agrees FROM test_rows" for model in ("Random Forest", "Gradient Boosted Trees")
+)
+ORACLES["importance_check"] = f"WITH {_PREPARED} " + " UNION ALL ".join(
+    [f"SELECT '{c}' AS feature, true AS agrees, true AS in_order" for c in ENCOUNTER_FEATURES.numeric + ENCOUNTER_FEATURES.binary]
+    + [f"SELECT DISTINCT '{c}_encoded_' || {c}, true, true FROM prepared WHERE {_PART} = 'train'" for c in ENCOUNTER_FEATURES.categorical]
+)
 ORACLES["tree_model_facts"] = " UNION ALL ".join(
     f"SELECT '{model}' AS model, 100 AS n_trees, true AS depth_within, true AS importances_sum_to_one, true AS a_slot_per_importance"
     for model in ("Random Forest", "Gradient Boosted Trees")

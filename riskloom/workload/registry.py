@@ -7,13 +7,13 @@ from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions import code_group
 from riskloom.operators import cleaning, comparison, confusion, curves, distribution, features, history
-from riskloom.operators import scoring, split, training
+from riskloom.operators import scoring, split, training, tree_nodes
 from riskloom.plans.evaluation import evaluate_and_compare
 from riskloom.plans.preparation import apply_preparation, clean_rows, learn_preparation, prepare_encounters
 from riskloom.plans.scoring import predict_pipeline
@@ -491,13 +491,14 @@ def encode_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(slots, "value")
 
 
-def _trained(spark: SparkSession, sf_dir: str, name: str):
+def _trained(spark: SparkSession, sf_dir: str, *names: str):
+    """Results of the named models, fitted on one stored table of prepared rows, and the test part."""
     spec = ENCOUNTER_FEATURES
     wanted = [ROW_KEY, "patient_nbr", LABEL, *spec.all]
     prepared = written(prepare_encounters(encounters(spark, sf_dir)).select(*wanted), scratch_path(spark, "prepared"))
     train, test = split.prepare_train_test_split(prepared)
     results, _ = training.train_all_models(
-        train, test, spec.numeric, spec.binary, spec.categorical, {name: {}}
+        train, test, spec.numeric, spec.binary, spec.categorical, {name: {} for name in names}
     )
     return results, test
 
@@ -562,9 +563,9 @@ def lr_probability_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def tree_model_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold for the fitted forest and boosted trees at the standard settings."""
-    rows = []
-    for name, depth in (("Random Forest", 10), ("Gradient Boosted Trees", 5)):
-        results, test = _trained(spark, sf_dir, name)
+    rows, depths = [], {"Random Forest": 10, "Gradient Boosted Trees": 5}
+    results, test = _trained(spark, sf_dir, *depths)
+    for name, depth in depths.items():
         fitted = results[name].model.stages[-1]
         found = training.model_importance(results[name].model, test, None).agg(
             F.count(F.lit(1)).alias("n"), F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("below")
@@ -581,6 +582,45 @@ def tree_model_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return local_frame(spark, rows, schema)
 
 
+@register
+def tree_score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per test row and tree model: does a walk over the saved nodes, with joins alone, give the model's score and class?"""
+    results, test = _trained(spark, sf_dir, "Random Forest", "Gradient Boosted Trees")
+    checks = []
+    for name, result in results.items():
+        path = scratch_path(spark, "model")
+        save_model(result.model, path)
+        columns = [ROW_KEY, LABEL, "prediction", SCORE, training.FEATURES]
+        scored = written(result.predictions.select(*columns), scratch_path(spark, "scored"))
+        rows = scored.select(ROW_KEY, vector_to_array(training.FEATURES).alias("features"))
+        again = tree_nodes.tree_scores(rows, tree_nodes.load_ensemble(spark, path), [ROW_KEY], score="again")
+        both = scored.select(ROW_KEY, LABEL, "prediction", SCORE).join(again.withColumnRenamed("prediction", "class_again"), ROW_KEY, "left")
+        same = (F.abs(F.col("again") - F.col(SCORE)) < 1e-9) & (F.col("class_again") == F.col("prediction"))
+        checks.append(both.select(F.lit(name).alias("model"), ROW_KEY, LABEL, F.coalesce(same, F.lit(False)).alias("agrees")))
+    return reduce(DataFrame.unionByName, checks)
+
+
+@register
+def importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per feature slot of the forest: is its importance the gain of its splits, and no larger than that of the slot before?"""
+    results, test = _trained(spark, sf_dir, "Random Forest")
+    model, path = results["Random Forest"].model, scratch_path(spark, "model")
+    save_model(model, path)
+    given = training.model_importance(model, test, None)
+    names = training.slot_names(PipelineModel(model.stages[:-1]), test)
+    slots = F.explode(F.arrays_zip(F.array(*map(F.lit, names)).alias("name"), F.sequence(F.lit(0), F.lit(len(names) - 1)).alias("slot")))
+    named = spark.range(1).select(slots.alias("s")).select(F.col("s.name").alias("feature"), F.col("s.slot").alias("slot"))
+    again = tree_nodes.node_importance(tree_nodes.load_ensemble(spark, path)).withColumnsRenamed({"feature": "slot", "importance": "again"})
+    listed = given.select("feature", "importance", F.monotonically_increasing_id().alias("place"))  # one partition, in its order
+    both = listed.join(named, "feature", "left").join(again, "slot", "left")
+    before = F.lag("importance").over(Window.partitionBy().orderBy("place"))  # a row per slot
+    return both.select(
+        "feature",
+        (F.abs(F.col("importance") - F.coalesce("again", F.lit(0.0))) < 1e-9).alias("agrees"),
+        (F.coalesce(before, F.lit(1.0)) >= F.col("importance")).alias("in_order"),
+    )
+
+
 @register
 def scored_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test part scored in two batches appended to one table; which rows arrived, and how often."""
