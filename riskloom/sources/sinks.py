@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.functions import require_columns
 from riskloom.schemas import ENTITY_KEY, LABEL, ROW_KEY, SCORE
@@ -58,11 +59,26 @@ def written(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append_scored_batch(model: PipelineModel, batch: DataFrame, output_path: str) -> None:
-    """Score one batch and add it to the prediction table."""
+def append_batch(df: DataFrame, path: str, batch: int | str, column: str = "batch") -> None:
+    """Add a batch to a table, once however often it is delivered.
+
+    Each batch has a folder of its own, and a delivery replaces what that folder holds and
+    nothing else, so a retried batch leaves each row once. A retry has to bring the
+    same rows: one without any rows leaves the folder as it is.
+    """
+    keyed = df.withColumn(column, F.lit(str(batch)))
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def append_scored_batch(model: PipelineModel, batch: DataFrame, output_path: str, batch_id: int | str | None = None) -> None:
+    """Score one batch and add it to the prediction table; with a ``batch_id`` a repeated call adds nothing twice."""
     from riskloom.operators.scoring import make_predictions
 
-    save_predictions(make_predictions(model, batch), output_path, mode="append")
+    scored = make_predictions(model, batch)
+    if batch_id is None:
+        save_predictions(scored, output_path, mode="append")
+    else:
+        append_batch(existing_columns(scored, prediction_columns(scored)), output_path, batch_id)
 
 
 def save_comparison_results(comparison: DataFrame, output_path: str) -> None:

@@ -1,5 +1,9 @@
-"""Structured Streaming."""
+"""Streams: scoring, windowed counts, late rows, and writing batches once."""
 
-from riskloom.streaming.scoring import high_risk_by_window, read_stream, score_stream, write_stream
+from riskloom.streaming.late_rows import late_report, mark_late, open_windows, replay
+from riskloom.streaming.scoring import batch_writer, high_risk_by_window, read_stream, score_stream, write_batches, write_stream
 
-__all__ = ["high_risk_by_window", "read_stream", "score_stream", "write_stream"]
+__all__ = [
+    "batch_writer", "high_risk_by_window", "late_report", "mark_late", "open_windows", "read_stream", "replay",
+    "score_stream", "write_batches", "write_stream",
+]

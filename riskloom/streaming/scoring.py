@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.operators.scoring import make_predictions
 from riskloom.schemas import HIGH_RISK_THRESHOLD, SCORE
+from riskloom.sources.sinks import append_batch
 
 
 def read_stream(
@@ -56,3 +59,22 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str, every: str | Non
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start(path)
+
+
+def write_batches(
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Hand each micro-batch and its number to ``write``, at least once.
+
+    A batch whose writing was cut short comes again with the same number and rows. With
+    ``batch_writer`` as ``write`` the table still holds each row once; any number of
+    such tables can be fed by one query, and rewritten later batch by batch.
+    """
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
+def batch_writer(path: str, run: str = "stream") -> Callable[[DataFrame, int], None]:
+    """Writes micro-batches below ``path``, each in a folder of its own; ``run`` tells streams with other checkpoints apart."""
+    return lambda batch, number: append_batch(batch, path, f"{run}-{number}")

@@ -543,3 +543,22 @@ SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::
        count(*) AS n_rows, count(*) FILTER (WHERE value / (value + 35.0::DOUBLE) >= 0.5) AS high_risk
 FROM events
 GROUP BY 1, 2"""
+
+ORACLES["stream_late_rows"] = """
+WITH days AS (
+  SELECT event_id, ts, value, date_diff('day', (SELECT min(ts) FROM events), ts) AS d, date_trunc('day', ts)::TIMESTAMP AS day FROM events
+),
+arrived AS (
+  SELECT *, CASE WHEN d < 20 AND event_id % 7 = 0 THEN 2 WHEN d < 10 THEN 0 WHEN d < 20 THEN 1 ELSE 3 END AS delivery FROM days
+),
+deliveries AS (SELECT delivery, max(ts) AS latest FROM arrived GROUP BY delivery),
+marks AS (
+  SELECT delivery, max(latest) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY AS mark FROM deliveries
+),
+judged AS (SELECT *, coalesce(day + INTERVAL 1 DAY <= mark, false) AS late FROM arrived JOIN marks USING (delivery))
+SELECT day AS window_start, day + INTERVAL 1 DAY AS window_end, count(*) FILTER (WHERE NOT late) AS n_rows,
+       count(*) FILTER (WHERE NOT late AND value / (value + 35.0::DOUBLE) >= 0.5) AS high_risk,
+       count(*) FILTER (WHERE late) AS n_dropped, day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY AS closed
+FROM judged GROUP BY day"""
+ORACLES["stream_redelivered"] = """
+SELECT event_id, CAST(1 AS BIGINT) AS n, round(value / (value + 35.0::DOUBLE), 6) AS score, true AS cut_off FROM events"""

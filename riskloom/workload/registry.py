@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -39,7 +40,18 @@ from riskloom.sources.sample_tables import (
     visits,
 )
 from riskloom.sources.sinks import append_scored_batch, load_model, save_comparison_results, save_model, save_predictions, written
-from riskloom.streaming import high_risk_by_window, read_stream, score_stream, write_stream
+from riskloom.streaming import (
+    batch_writer,
+    high_risk_by_window,
+    late_report,
+    mark_late,
+    open_windows,
+    read_stream,
+    replay,
+    score_stream,
+    write_batches,
+    write_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -623,11 +635,11 @@ def importance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def scored_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The test part scored in two batches appended to one table; which rows arrived, and how often."""
+    """The test part scored in two batches added to one table, one of them delivered twice; which rows arrived, and how often."""
     results, test = _trained(spark, sf_dir, "Logistic Regression")
     path = scratch_path(spark, "batches")
-    for half in (0, 1):
-        append_scored_batch(results["Logistic Regression"].model, test.filter(F.col(ROW_KEY) % 2 == half), path)
+    for half in (0, 1, 0):
+        append_scored_batch(results["Logistic Regression"].model, test.filter(F.col(ROW_KEY) % 2 == half), path, half)
     return spark.read.parquet(path).groupBy(ROW_KEY).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -757,23 +769,74 @@ def stream_matches_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(ROW_KEY, F.coalesce(F.col(SCORE) == F.col("_batch"), F.lit(False)).alias("same_as_batch"))
 
 
+def _scored_events(events: DataFrame, *columns: str) -> DataFrame:
+    """Events with a time that streams take (a timestamp with zone) and a score."""
+    return events.select(*columns, F.col("ts").cast("timestamp").alias("at"), (F.col("value") / (F.col("value") + 35.0)).alias("score"))
+
+
+def _plain_times(windows: DataFrame) -> DataFrame:
+    return windows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
 @register
 def stream_high_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """High-risk events per day: closed days from the event stream, days still open from a batch."""
     out, checkpoint = (scratch_path(spark, f"windows-{part}") for part in ("out", "checkpoint"))
-    schema = read_table(spark, sf_dir, "events").schema
+    events = read_table(spark, sf_dir, "events")
     # a stream source takes a folder or a glob; the brackets make a glob of a single file
-    stream = read_stream(spark, f"{sf_dir.rstrip('/')}/[e]vents.parquet", schema)
-    scored = stream.select(
-        F.col("ts").cast("timestamp").alias("at"), (F.col("value") / (F.col("value") + 35.0)).alias("score")
-    )
-    write_stream(high_risk_by_window(scored, "at", score="score"), out, checkpoint).awaitTermination()
-    windows = spark.read.parquet(out)
-    events = read_table(spark, sf_dir, "events").select(
-        F.col("ts").cast("timestamp").alias("at"), (F.col("value") / (F.col("value") + 35.0)).alias("score")
-    )
-    whole = high_risk_by_window(events, "at", score="score")
-    windows = windows.unionByName(whole.join(windows, "window_start", "left_anti"))  # a row per day
-    return windows.withColumns({
-        c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")
-    })
+    stream = read_stream(spark, f"{sf_dir.rstrip('/')}/[e]vents.parquet", events.schema)
+    write_stream(high_risk_by_window(_scored_events(stream), "at", score="score"), out, checkpoint).awaitTermination()
+    still_open = open_windows(_scored_events(events), "at", score="score")
+    return _plain_times(spark.read.parquet(out).unionByName(still_open))
+
+
+@register
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """High-risk events per day from four deliveries, the third of them late; the stream restarts for each.
+
+    Days that the stream closed come from the stream, with the number of rows that it
+    dropped; days still open come from a batch over the rows that were in time.
+    """
+    source, out, checkpoint, kept = (scratch_path(spark, f"late-{part}") for part in ("source", "out", "checkpoint", "events"))
+    events = read_table(spark, sf_dir, "events")
+    first = events.agg(F.min("ts").alias("t")).first()["t"]
+    day = F.datediff("ts", F.lit(first).cast("timestamp_ntz"))
+    held_back = (day < 20) & (F.col("event_id") % 7 == 0)
+    delivery = F.when(held_back, 2).when(day < 10, 0).when(day < 20, 1).otherwise(3)
+    scored = written(_scored_events(events.withColumn("delivery", delivery), "delivery"), kept, ["delivery"])
+
+    def start():
+        stream = read_stream(spark, source, scored.drop("delivery").schema)
+        return write_stream(high_risk_by_window(stream, "at", score="score"), out, checkpoint)
+
+    replay((scored.filter(F.col("delivery") == d).drop("delivery") for d in range(4)), source, start)
+    closed = late_report(spark.read.parquet(out), scored, "at").drop("n_arrived").withColumn("closed", F.lit(True))
+    in_time = mark_late(scored, "at", "delivery").filter("NOT late")
+    still_open = open_windows(in_time, "at", score="score").withColumns({"n_dropped": F.lit(0).cast("long"), "closed": F.lit(False)})
+    return _plain_times(closed.unionByName(still_open))
+
+
+@register
+def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events scored in batches, one of which is cut off after its write and comes again: which rows arrived, and how often."""
+    source, out, checkpoint = (scratch_path(spark, f"redelivered-{part}") for part in ("source", "out", "checkpoint"))
+    events = read_table(spark, sf_dir, "events")
+    events.repartition(4, "event_id").write.parquet(source)
+    write, cut = batch_writer(out), [1]
+
+    def interrupted(batch: DataFrame, number: int) -> None:
+        write(batch, number)
+        if number in cut:
+            cut.remove(number)
+            raise RuntimeError("cut off after the write")
+
+    def run() -> None:
+        stream = _scored_events(read_stream(spark, source, events.schema, 1), "event_id")
+        write_batches(stream.drop("at"), interrupted, checkpoint).awaitTermination()
+
+    try:
+        run()
+    except StreamingQueryException:
+        run()
+    arrived = spark.read.parquet(out).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("score"))
+    return rounded(arrived.withColumn("cut_off", F.lit(not cut)), "score")
