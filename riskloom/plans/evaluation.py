@@ -12,6 +12,7 @@ from riskloom.functions import positive_probability
 from riskloom.operators.comparison import ModelResult, comparison_frame, comparison_table, select_best_model, stack_predictions
 from riskloom.operators.confusion import analyze_confusion_matrix, threshold_sweep
 from riskloom.operators.distribution import score_by_class, score_description
+from riskloom.operators.report import evaluation_report
 from riskloom.operators.split import validate_data_leakage_prevention
 from riskloom.schemas import SCORE
 
@@ -65,4 +66,5 @@ def run_comprehensive_tests(
         "score_description": score_description(detailed),
         "score_by_class": score_by_class(detailed),
         "threshold_sweep": threshold_sweep(detailed),
+        "report": evaluation_report(stack_predictions({n: with_score(r.predictions) for n, r in results.items()})),
     }

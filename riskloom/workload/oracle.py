@@ -462,6 +462,48 @@ SELECT model, column_name, round(sum((p - q) * ln(p / q)), 6) AS psi, CAST(sum(b
        CAST(sum(c) AS BIGINT) AS current_n
 FROM shares GROUP BY model, column_name"""
 
+# --- reports ---
+def _metric_rows(section: str, key: str, metrics: Mapping[str, str], source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, model, {key} AS key, '{name}' AS metric, round(CAST({value} AS DOUBLE), 6) AS value FROM {source}"
+        for name, value in metrics.items()
+    )
+
+
+_SCORE_FIGURES = {"n": "n", "n_scored": "n_scored", "mean": "mean", "stddev": "stddev", "min": "low", "max": "high"}
+_DESCRIBED = """count(*) AS n, count(score) AS n_scored, avg(score) AS mean, stddev_samp(score) AS stddev, min(score) AS low, max(score) AS high"""
+_CELL_FIGURES = {c: c for c in ("tp", "tn", "fp", "fn")}
+ORACLES["comprehensive_report"] = f"""WITH {_AT_THRESHOLD.replace("cells AS", "at_threshold AS")},
+whole AS (SELECT model, {_DESCRIBED}, avg(label) AS base, {_CELLS} FROM scores GROUP BY model),
+classes AS (SELECT model, label, {_DESCRIBED} FROM scores GROUP BY model, label)
+""" + " UNION ALL ".join([
+    _metric_rows("model", "CAST(NULL AS VARCHAR)", _SCORE_FIGURES | _CELL_FIGURES | {
+        "accuracy": _ACC, "precision_pos": _P1, "recall_pos": _R1, "f1_pos": _F1, "weighted_precision": _weighted(_P1, _P0),
+        "weighted_recall": _weighted(_R1, _R0), "weighted_f1": _weighted(_F1, _F0), "sensitivity": _R1, "specificity": _R0,
+        "positive_pct": "round(100 * base, 2)",
+    }, "whole"),
+    _metric_rows("class", "CAST(label AS VARCHAR)", _SCORE_FIGURES, "classes"),
+    _metric_rows("threshold", "CAST(threshold AS VARCHAR)", _CELL_FIGURES | {"precision": _P1, "recall": _R1, "f1": _F1}, "at_threshold"),
+])
+_from_scores("model_row", "*", """WHERE "Model" = 'm2'""", "compared", _COMPARED)
+_BEST = f"""{_COMPARED}, best AS (SELECT "Model" AS model FROM compared ORDER BY "AUC_ROC" DESC, "Model" LIMIT 1)"""
+ORACLES["chart_roc_curve"] = f"""WITH {_BEST}
+SELECT round(score, 9) AS threshold, tp, fp, round(tp / p, 9) AS tpr, round(fp / n, 9) AS fpr FROM ranked JOIN best USING (model)
+UNION ALL SELECT NULL, 0, 0, 0, 0"""
+ORACLES["chart_operating_point"] = f"""WITH {_BEST}
+SELECT round(score, 6) AS threshold, tp, fp, round(tp / p, 6) AS tpr, round(fp / n, 6) AS fpr
+FROM ranked JOIN best USING (model) ORDER BY abs(score - 0.5), score DESC LIMIT 1"""
+ORACLES["chart_precision_recall"] = f"""WITH {_BEST}
+SELECT round(score, 9) AS threshold, tp, fp, round(tp / CAST(tp + fp AS DOUBLE), 9) AS precision, round(tp / p, 9) AS recall
+FROM ranked JOIN best USING (model) UNION ALL SELECT NULL, NULL, NULL, 1, 0"""
+ORACLES["chart_base_rate"] = f"WITH {_BEST} SELECT round(avg(label), 6) AS base_rate FROM scores JOIN best USING (model)"
+ORACLES["chart_confusion_matrix"] = f"""WITH {_BEST}
+SELECT label AS readmit_30, prediction, count(*) AS n FROM scores JOIN best USING (model) GROUP BY 1, 2"""
+ORACLES["chart_model_comparison"] = ORACLES["comparison_long"]
+ORACLES["chart_class_distribution"] = f"""WITH {_BEST}
+SELECT label AS readmit_30, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 2) AS pct
+FROM scores JOIN best USING (model) GROUP BY label"""
+
 # --- encoding ---
 _SLOT_LONG: Mapping[str, str] = {
     **{c: f"SELECT encounter_id, '{c}' AS slot, CAST({c} AS DOUBLE) AS raw FROM full_precision"
@@ -511,6 +553,13 @@ _from_encounters(
     "late_null_features", "count(*) AS n_rows, " + ", ".join(f"0 * count(*) AS null_{c}" for c in MEDIAN_FILL_COLUMNS), "", "cleaned", _CLEANED
 )
 ORACLES["approx_median_ranks"] = " UNION ALL ".join(f"SELECT '{c}' AS column_name, true AS within_error" for c in MEDIAN_FILL_COLUMNS)
+ORACLES["sketch_median_ranks"] = f"WITH {_ENCOUNTERS} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, true AS within_bound, count({c}) AS n FROM encounters" for c in MEDIAN_FILL_COLUMNS
+)
+_from_scores(
+    "sketch_quantile_ranks", "model, label, quantile, true AS within_bound, count(*) AS n",
+    ", (VALUES ('p25'), ('median'), ('p75')) AS q(quantile) GROUP BY model, label, quantile",
+)
 _from_encounters("lr_probability_check", "encounter_id, readmit_30, true AS agrees", "", "test_rows", _TEST_ROWS)
 ORACLES["tree_score_check"] = f"WITH {_TEST_ROWS} " + " UNION ALL ".join(
     f"SELECT '{model}' AS model, encounter_id, readmit_30, true AS agrees FROM test_rows" for model in ("Random Forest", "Gradient Boosted Trees")

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from riskloom.functions import code_group
 from riskloom.operators import cleaning, comparison, confusion, curves, distribution, features, history
-from riskloom.operators import scoring, split, training, tree_nodes
+from riskloom.operators import report, scoring, sketches, split, training, tree_nodes
+from riskloom.plans.chart_tables import chart_tables, save_chart_tables
 from riskloom.plans.evaluation import evaluate_and_compare
 from riskloom.plans.preparation import apply_preparation, clean_rows, learn_preparation, prepare_encounters
 from riskloom.plans.scoring import predict_pipeline
@@ -22,6 +23,7 @@ from riskloom.plans.stages import train_on_raw
 from riskloom.plans.training_run import train_and_select
 from riskloom.schemas import (
     ADMISSION_TYPE_GROUPS,
+    COMPARISON_SCHEMA,
     ENCOUNTER_FEATURES,
     LABEL,
     MEDIAN_FILL_COLUMNS,
@@ -450,6 +452,44 @@ def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparison.comparison_table(model_scores(spark, sf_dir), "label", "score")
 
 
+@register
+def comprehensive_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All models, classes and thresholds in one long table, from one scan."""
+    return rounded(report.evaluation_report(model_scores(spark, sf_dir), "label", "score"), "value")
+
+
+@register
+def model_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison row of one model, looked up by its name."""
+    return local_frame(spark, [comparison.model_row(_compared(spark, sf_dir), "m2").asDict()], COMPARISON_SCHEMA)
+
+
+def _chart_query(table: str, *decimals: str, digits: int = 6) -> Query:
+    """One table of the chart bundle, as it is after the bundle was saved."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        named = {"label": LABEL, "score": SCORE}
+        compared = _compared(spark, sf_dir)
+        best = comparison.best_model(compared).first()["Model"]
+        results = {"best_predictions": model_scores(spark, sf_dir, [best]).withColumnsRenamed(named), "comparison_df": compared}
+        path = scratch_path(spark, "charts")
+        save_chart_tables({table: chart_tables(results)[table]}, path)
+        saved = spark.read.parquet(f"{path}/{table}")
+        finite = saved.withColumn("threshold", F.nullif("threshold", F.lit(float("inf")))) if "threshold" in saved.columns else saved
+        return rounded(finite, *decimals, digits=digits)
+
+    return run
+
+
+QUERIES["chart_roc_curve"] = _chart_query("roc_curve", "threshold", "tpr", "fpr", digits=9)
+QUERIES["chart_operating_point"] = _chart_query("roc_operating_point", "threshold", "tpr", "fpr")
+QUERIES["chart_precision_recall"] = _chart_query("precision_recall_curve", "threshold", "precision", "recall", digits=9)
+QUERIES["chart_base_rate"] = _chart_query("base_rate", "base_rate")
+QUERIES["chart_confusion_matrix"] = _chart_query("confusion_matrix")
+QUERIES["chart_model_comparison"] = _chart_query("model_comparison")
+QUERIES["chart_class_distribution"] = _chart_query("class_distribution")
+
+
 @register
 def comparison_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparison.comparison_long(_compared(spark, sf_dir))
@@ -714,6 +754,31 @@ def approx_median_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def sketch_quantile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score quartiles per model and class from daily sketches that were stored and merged: are their ranks within the bound?"""
+    scored = written(model_scores(spark, sf_dir).withColumn("day", F.to_date("ts")), scratch_path(spark, "scored"))
+    daily = sketches.column_sketches(scored, ["score"], ["day", *MODEL, "label"])
+    stored = written(daily, scratch_path(spark, "sketches"))
+    merged = sketches.merged_sketches(stored, [*MODEL, "label"])
+    found = sketches.sketch_quantiles(merged, distribution.QUARTILES, [*MODEL, "label"])
+    errors = sketches.rank_errors(scored, found, distribution.QUARTILES, ["score"], [*MODEL, "label"])
+    within = errors.select(*MODEL, "label", "quantile", (F.col("error") <= sketches.RANK_ERROR).alias("within_bound"))
+    return within.join(found.select(*MODEL, "label", "n"), [*MODEL, "label"])
+
+
+@register
+def sketch_median_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of the number columns from sketches per admission type, merged over all types: are their ranks within the bound?"""
+    columns = list(MEDIAN_FILL_COLUMNS)
+    df = encounter_table(spark, sf_dir, [*columns, "admission_type_id"])
+    parts = written(sketches.column_sketches(df, columns, ["admission_type_id"]), scratch_path(spark, "sketches"))
+    found = sketches.sketch_quantiles(sketches.merged_sketches(parts), {"median": 0.5})
+    errors = sketches.rank_errors(df, found, {"median": 0.5}, columns)
+    within = errors.select("column_name", (F.col("error") <= sketches.RANK_ERROR).alias("within_bound"))
+    return within.join(found.select("column_name", "n"), "column_name")
+
+
 @register
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepare, split, train all three, compare, save and score; how many rows each table holds."""
