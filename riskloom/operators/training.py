@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark import StorageLevel
@@ -19,7 +19,8 @@ from riskloom.operators.layout import ROWS_PER_TASK, dealt
 from riskloom.operators.scoring import make_predictions
 from riskloom.operators.split import add_sample_weights, class_counts, class_weights
 from riskloom.schemas import ENTITY_KEY, LABEL, ROW_KEY, SPLIT_SEED
-from riskloom.session import ensure_checkpoint_dir, local_frame
+from riskloom.session import ensure_checkpoint_dir, local_frame, scratch_path
+from riskloom.sources.sinks import load_model, save_model
 
 UNSCALED, FEATURES, WEIGHT = "features_unscaled", "features", "sample_weight"
 
@@ -113,6 +114,20 @@ def training_rows(
     return rows, encoder
 
 
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """The pipeline as it is after saving and loading.
+
+    A training summary holds the session, which tasks can't be sent once an ``Observation`` was used in it.
+    """
+    classifier = model.stages[-1]
+    if not getattr(classifier, "hasSummary", False):
+        return model
+    spark = SparkSession.active()
+    path = scratch_path(spark, "fitted")
+    save_model(model, path)
+    return load_model(spark, path)
+
+
 def train_all_models(
     train_df: DataFrame,
     test_df: DataFrame,
@@ -124,6 +139,7 @@ def train_all_models(
     keys: Sequence[str] = (ENTITY_KEY, ROW_KEY),
     max_categories: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    on_fitted: Callable[[str, PipelineModel], None] | None = None,
 ) -> tuple[dict[str, ModelResult], PipelineModel]:
     """Fit the feature stages and every classifier on the training part only.
 
@@ -134,25 +150,27 @@ def train_all_models(
     keys, so that what is fitted doesn't depend on the files they came from; the encoded
     vectors are kept on the executors during the fits, and rebuilt from the source if an
     executor is lost. All labels of a category column reach the driver, as indexing needs
-    them; ``max_categories`` refuses more.
+    them; ``max_categories`` refuses more. ``on_fitted`` is called with each whole pipeline
+    as soon as it is fitted.
     """
     models = models if models is not None else {name: {} for name in MODEL_SETTINGS}
     ensure_checkpoint_dir(train_df.sparkSession)
     check_category_sizes(train_df, categorical_features, max_categories)
     wanted = [*numeric_features, *binary_features, *categorical_features]
     rows, encoder = training_rows(train_df, numeric_features, binary_features, categorical_features, label, keys, rows_per_task)
+    fitted = {}
     try:
-        fitted = {name: make_classifier(name, label, **overrides).fit(rows) for name, overrides in models.items()}
+        for name, overrides in models.items():
+            classifier = make_classifier(name, label, **overrides).fit(rows)
+            fitted[name] = _without_summary(PipelineModel(stages=[*encoder.stages, classifier]))
+            if on_fitted:
+                on_fitted(name, fitted[name])
     finally:
         rows.unpersist()
 
     present = [c for c in (*keys, label) if c in test_df.columns]
     test_rows = test_df.select(*present, *[c for c in wanted if c not in present])
-    results = {}
-    for name, classifier in fitted.items():
-        whole = PipelineModel(stages=[*encoder.stages, classifier])
-        results[name] = ModelResult(whole, make_predictions(whole, test_rows))
-    return results, encoder
+    return {name: ModelResult(whole, make_predictions(whole, test_rows)) for name, whole in fitted.items()}, encoder
 
 
 def assembled_columns(model: PipelineModel) -> list[str]:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.operators.cleaning import (
     MEDIAN_ACCURACY,
@@ -96,14 +97,16 @@ def prepare_encounters(
     keep_type: bool = False,
     untested_values: Sequence[str] = UNTESTED_VALUES,
     exclude_ids: Sequence[int] = EXCLUDED_DISCHARGES,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Feature table of raw encounters. One job looks at the data; the result is lazy.
 
     Columns that features are made of are never dropped unless ``protect`` says so.
+    ``watch`` gets ``rows_before``, the rows before exclusions, from the first job on the result.
     """
-    cleaned = clean_rows(raw, exclude_ids)
-    learned = learn_preparation(cleaned, threshold, protect, exact_median)
-    return apply_preparation(cleaned, learned, keep_type, untested_values)
+    learned = learn_preparation(clean_rows(raw, exclude_ids), threshold, protect, exact_median)
+    seen = raw if watch is None else raw.observe(watch, F.count(F.lit(1)).alias("rows_before"))
+    return apply_preparation(clean_rows(seen, exclude_ids), learned, keep_type, untested_values)
 
 
 def preprocess_data(

@@ -573,17 +573,27 @@ ORACLES["tree_model_facts"] = " UNION ALL ".join(
     for model in ("Random Forest", "Gradient Boosted Trees")
 )
 _from_encounters("scored_batches", "encounter_id, CAST(1 AS BIGINT) AS n", "", "test_rows", _TEST_ROWS)
-ORACLES["full_run"] = f"WITH {_TEST_ROWS} " + " UNION ALL ".join(
-    f"SELECT '{table}' AS table_name, '{model}' AS model, count(*) AS n_rows, "
-    "CAST(sum(readmit_30) AS BIGINT) AS n_positive FROM test_rows"
-    for table, model in (
-        ("model_comparison", "Logistic Regression"),
-        ("model_comparison", "Random Forest"),
-        ("model_comparison", "Gradient Boosted Trees"),
-        ("test_predictions", "best"),
-        ("new_predictions", "best"),
-    )
-)
+_RUN_COUNTS = {
+    "raw rows": ("encounters", "true"), "prepared rows_before": ("encounters", "true"),
+    "prepared rows_removed": ("encounters", f"NOT ({_EXCLUDED})"), "prepared rows_kept": ("cleaned", "true"),
+    **{f"prepared {p}_rows": ("cleaned", f"{_PART} = '{p}'") for p in ("train", "test")},
+    **{f"prepared {p}_positive": ("cleaned", f"{_PART} = '{p}' AND readmit_30 = 1") for p in ("train", "test")},
+}
+ORACLES["full_run"] = f"WITH {_TEST_ROWS} " + " UNION ALL ".join([
+    *(
+        f"SELECT '{table}' AS table_name, '{model}' AS model, count(*) AS n_rows, "
+        "CAST(sum(readmit_30) AS BIGINT) AS n_positive FROM test_rows"
+        for table, model in (
+            ("model_comparison", "Logistic Regression"),
+            ("model_comparison", "Random Forest"),
+            ("model_comparison", "Gradient Boosted Trees"),
+            ("test_predictions", "best"),
+            ("new_predictions", "best"),
+        )
+    ),
+    *(f"SELECT 'counted {name}', 'run', count(*), NULL FROM {table} WHERE {rule}" for name, (table, rule) in _RUN_COUNTS.items()),
+    *(f"SELECT 'resumed {stage}', 'run', 1, NULL" for stage in ("raw", "prepared", "model Logistic Regression")),
+])
 
 # --- streams ---
 _from_encounters("stream_matches_batch", "encounter_id, true AS same_as_batch", "", "cleaned", _CLEANED)

@@ -20,7 +20,7 @@ from riskloom.plans.evaluation import evaluate_and_compare
 from riskloom.plans.preparation import apply_preparation, clean_rows, learn_preparation, prepare_encounters
 from riskloom.plans.scoring import predict_pipeline
 from riskloom.plans.stages import train_on_raw
-from riskloom.plans.training_run import train_and_select
+from riskloom.plans.training_run import main
 from riskloom.schemas import (
     ADMISSION_TYPE_GROUPS,
     COMPARISON_SCHEMA,
@@ -781,10 +781,12 @@ def sketch_median_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepare, split, train all three, compare, save and score; how many rows each table holds."""
-    out = scratch_path(spark, "run")
-    run = train_and_select(encounter_table(spark, sf_dir), out)
-    predict_pipeline(spark, run["model_path"], run["test"], f"{out}/predictions/new_predictions")
+    """From a CSV file to scored rows, stopped after the first fit and resumed: rows of each table, and what the run counted."""
+    source, out = scratch_path(spark, "csv"), scratch_path(spark, "run")
+    encounters(spark, sf_dir).drop("admitted_at").write.option("header", True).csv(source)
+    stopped = main(source, out, spark=spark, until="model Logistic Regression")
+    run = main(source, out, spark=spark)
+    figures = [F.count(F.lit(1)).alias("n_rows"), F.sum(LABEL).alias("n_positive")]
     compared = run["comparison_df"].select(
         F.lit("model_comparison").alias("table_name"),
         F.col("Model").alias("model"),
@@ -792,13 +794,13 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("True_Positives") + F.col("False_Negatives")).alias("n_positive"),
     )
     tables = {name: spark.read.parquet(f"{out}/predictions/{name}") for name in ("test_predictions", "new_predictions")}
-    for name, table in tables.items():
-        compared = compared.unionByName(
-            table.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(LABEL).alias("n_positive")).select(
-                F.lit(name).alias("table_name"), F.lit("best").alias("model"), "n_rows", "n_positive"
-            )
-        )
-    return compared
+    rows = [df.agg(*figures).select(F.lit(name).alias("table_name"), F.lit("best").alias("model"), "n_rows", "n_positive") for name, df in tables.items()]
+    counted = spark.read.parquet(f"{out}/results/run_counts").select(
+        F.concat_ws(" ", F.lit("counted"), "stage", "figure").alias("table_name"), F.lit("run").alias("model"),
+        F.col("n").alias("n_rows"), F.lit(None).cast("long").alias("n_positive"),
+    )
+    resumed = [{"table_name": f"resumed {stage}", "model": "run", "n_rows": int("stopped_after" in stopped), "n_positive": None} for stage in run["resumed"]]
+    return reduce(DataFrame.unionByName, [compared, *rows, counted, local_frame(spark, resumed, compared.schema)])
 
 
 # --- streams -------------------------------------------------------------------------
