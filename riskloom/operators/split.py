@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import percent
 from riskloom.schemas import ENTITY_KEY, LABEL, SPLIT_SEED, TEST_RATIO, TRAIN_RATIO
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import scratch_path
+from riskloom.sources.sinks import written
 
 _BUCKETS = 100
 
@@ -44,18 +46,61 @@ def prepare_train_test_split(
     """Split rows so that all rows of an entity land on the same side.
 
     ``hash`` decides from the key alone: two filters, no shuffle, the same answer
-    however the data is partitioned. ``random`` draws from the distinct entities;
-    these are checkpointed so that a lost executor cannot change the draw.
+    however the data is partitioned, and parts of about the wanted sizes. ``random``
+    gives the training part exactly its share of the distinct entities (see
+    ``exact_cut``); after the cut is found it is two filters as well.
     """
     if method == "hash":
         part = split_part(key, train_ratio, test_ratio, seed, buckets)
         return df.filter(part == "train"), df.filter(part == "test")
     if method != "random":
         raise ValueError(f"unknown split method {method!r}; use 'hash' or 'random'")
-    ensure_checkpoint_dir(df.sparkSession)
-    entities = distinct_entities(df, key).checkpoint()
-    train, test = entities.randomSplit([train_ratio, test_ratio], seed=seed)
-    return keep_entities(df, train, key), keep_entities(df, test, key)
+    part = exact_split_part(df, key, train_ratio, test_ratio, seed)
+    return df.filter(part == "train"), df.filter(part == "test")
+
+
+def _place(key: str, seed: int) -> Column:
+    """A number of 60 bits that depends on the key and the seed only."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def exact_cut(df: DataFrame, key: str, share: float, seed: int = SPLIT_SEED, bits: int = 12, few: int = 4096) -> tuple[int, str] | None:
+    """The last of ``floor(share * n + 1/2)`` entities in the order of their seeded hash, as hash and key; None for none.
+
+    The order statistic is found by narrowing: entities are counted per range of hashes (2^bits
+    ranges), and the range that holds the wanted rank is cut into ranges again, until it holds few
+    entities. Only counts and those few reach the driver, and the answer hangs on keys alone.
+    """
+    hashed = distinct_entities(df, key).select(_place(key, seed).alias("place"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("name"))
+    entities = written(hashed, scratch_path(df.sparkSession, "entities"))
+    wanted, low, width = math.floor(share * entities.count() + 0.5), 0, 60
+    if not wanted:
+        return None
+    while width:
+        width -= bits
+        held = entities.filter(F.col("place").between(low, low + (1 << width + bits) - 1))
+        ranges = held.groupBy(F.shiftright(F.col("place") - low, width).alias("r")).agg(F.count(F.lit(1)).alias("n"))
+        for r, n in sorted(tuple(row) for row in ranges.collect()):
+            if wanted <= n:
+                low += r << width
+                break
+            wanted -= n
+        if n <= few:
+            break
+    last = entities.filter(F.col("place").between(low, low + (1 << width) - 1)).orderBy("place", "name").limit(wanted).collect()[-1]
+    return last["place"], last["name"]
+
+
+def exact_split_part(
+    df: DataFrame, key: str = ENTITY_KEY, train_ratio: float = TRAIN_RATIO, test_ratio: float = TEST_RATIO, seed: int = SPLIT_SEED
+) -> Column:
+    """``train`` for exactly the training share of the entities in ``df``, else ``test``."""
+    cut = exact_cut(df, key, train_ratio / (train_ratio + test_ratio), seed)
+    if cut is None:
+        return F.lit("test")
+    place, name = _place(key, seed), F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.when((place < cut[0]) | ((place == cut[0]) & (name <= cut[1])), "train").otherwise("test")
 
 
 def distinct_entities(df: DataFrame, key: str = ENTITY_KEY) -> DataFrame:

@@ -7,14 +7,15 @@ drop decisions and medians.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskloom.operators.comparison import ModelResult
 from riskloom.operators.training import train_all_models
@@ -83,6 +84,32 @@ class EncounterPreparerModel(Model, _PreparationParams, DefaultParamsReadable, D
         )
 
 
+class ExpressionStep(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """A user's own feature step: named SQL expressions, saved with the pipeline.
+
+    ``columns`` maps new (or replaced) columns to expressions over the columns before the step;
+    ``needs`` maps input columns to their types, checked against every frame before Spark
+    sees the expressions, so that a loaded pipeline names what does not fit. Works on streams.
+    """
+
+    columns = Param(Params._dummy(), "columns", "column names and their SQL expressions, as JSON", typeConverter=TypeConverters.toString)
+    needs = Param(Params._dummy(), "needs", "input columns and their types, as JSON", typeConverter=TypeConverters.toString)
+
+    def __init__(self, columns: Mapping[str, str] | None = None, needs: Mapping[str, str] | None = None):
+        super().__init__()
+        self._set(columns=json.dumps(dict(columns or {})), needs=json.dumps(dict(needs or {})))
+
+    def check(self, dataset: DataFrame) -> None:
+        types = dict(dataset.dtypes)
+        wrong = {c: types.get(c, "absent") for c, t in json.loads(self.getOrDefault(self.needs)).items() if types.get(c) != t}
+        if wrong:
+            raise ValueError(f"step {self.uid} needs {self.getOrDefault(self.needs)}; found {wrong}")
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        self.check(dataset)
+        return dataset.withColumns({c: F.expr(e) for c, e in json.loads(self.getOrDefault(self.columns)).items()})
+
+
 def train_on_raw(
     raw_train: DataFrame,
     raw_test: DataFrame,
@@ -90,17 +117,19 @@ def train_on_raw(
     features: FeatureSpec = ENCOUNTER_FEATURES,
     models: Mapping[str, Mapping[str, Any]] | None = None,
     max_categories: int | None = None,
+    steps: Sequence[Transformer] = (),
 ) -> dict[str, ModelResult]:
     """Train models whose pipelines take raw encounters.
 
     Preparation learns from the training part only; classes are weighted as in
-    ``train_all_models``.
+    ``train_all_models``. ``steps`` follow preparation, in training and in the saved
+    pipelines; name what they derive in ``features``.
     """
-    prepare = (preparer or EncounterPreparer()).fit(raw_train)
+    prepare = PipelineModel(stages=[(preparer or EncounterPreparer()).fit(raw_train), *steps])
     train, test = prepare.transform(raw_train), prepare.transform(raw_test)
     spec = features.available(train.columns)
     results, _ = train_all_models(train, test, spec.numeric, spec.binary, spec.categorical, models, max_categories=max_categories)
     return {
-        name: ModelResult(PipelineModel(stages=[prepare, *result.model.stages]), result.predictions)
+        name: ModelResult(PipelineModel(stages=[*prepare.stages, *result.model.stages]), result.predictions)
         for name, result in results.items()
     }

@@ -525,6 +525,31 @@ ORACLES["category_index"] = f"WITH {_PREPARED} " + " UNION ALL ".join(
     for c in ENCOUNTER_FEATURES.categorical
 )
 
+_RANKED_CATEGORIES = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS idx FROM {{source}} GROUP BY {c}"
+    for c in ENCOUNTER_FEATURES.categorical
+)
+ORACLES["category_table_index"] = f"WITH {_PREPARED} " + _RANKED_CATEGORIES.format(source="prepared")
+ORACLES["category_table_rows"] = (
+    f"WITH {_PREPARED}, known AS (SELECT * FROM prepared WHERE {_PART} = 'train' AND race <> 'MACHINERY'), "
+    f"categories AS ({_RANKED_CATEGORIES.format(source='known')}) SELECT encounter_id, " + ", ".join(
+        f"coalesce((SELECT idx FROM categories WHERE column_name = '{c}' AND value = prepared.{c}), "
+        f"(SELECT count(*) FROM categories WHERE column_name = '{c}')) AS {c}_indexed" for c in ENCOUNTER_FEATURES.categorical
+    ) + " FROM prepared"
+)
+_from_encounters(
+    "exact_split", "encounter_id, patient_nbr, CASE WHEN place <= floor(0.8 * n + 0.5) THEN 'train' ELSE 'test' END AS part",
+    "JOIN placed USING (patient_nbr)", "encounters", f"""{_ENCOUNTERS},
+patients AS (SELECT DISTINCT patient_nbr FROM encounters),
+placed AS (
+  SELECT patient_nbr, count(*) OVER () AS n, row_number() OVER (
+    ORDER BY CAST(concat('0x', substr(md5(concat('42|', CAST(patient_nbr AS VARCHAR))), 1, 15)) AS BIGINT), CAST(patient_nbr AS VARCHAR)
+  ) AS place FROM patients
+)""",
+)
+ORACLES["user_step"] = f"""WITH {_PREPARED}
+SELECT encounter_id, round(total_prior_visits / time_in_hospital, 6) AS visits_per_day, true AS same_after_loading FROM prepared"""
+
 # --- models: which rows are scored, and what must hold for every one of them ---
 _TEST_ROWS = f"""{_CLEANED},
 test_rows AS (SELECT encounter_id, readmit_30 FROM cleaned WHERE {_PART} = 'test')"""

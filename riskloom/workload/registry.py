@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
@@ -13,13 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions import code_group
-from riskloom.operators import cleaning, comparison, confusion, curves, distribution, features, history
+from riskloom.operators import category_table, cleaning, comparison, confusion, curves, distribution, features, history
 from riskloom.operators import report, scoring, sketches, split, training, tree_nodes
 from riskloom.plans.chart_tables import chart_tables, save_chart_tables
 from riskloom.plans.evaluation import evaluate_and_compare
 from riskloom.plans.preparation import apply_preparation, clean_rows, learn_preparation, prepare_encounters
 from riskloom.plans.scoring import predict_pipeline
-from riskloom.plans.stages import train_on_raw
+from riskloom.plans.stages import ExpressionStep, train_on_raw
 from riskloom.plans.training_run import main
 from riskloom.schemas import (
     ADMISSION_TYPE_GROUPS,
@@ -779,6 +780,45 @@ def sketch_median_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return within.join(found.select("column_name", "n"), "column_name")
 
 
+@register
+def category_table_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every category and its index, from a table that was stored and read back."""
+    path = scratch_path(spark, "category-table")
+    category_table.save_categories(category_table.category_table(_prepared_table(spark, sf_dir), ENCOUNTER_FEATURES.categorical), path)
+    return category_table.load_categories(spark, path)
+
+
+@register
+def category_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters indexed by joins with categories learned on the training part; an unseen one gets the number of known ones."""
+    columns, prepared = list(ENCOUNTER_FEATURES.categorical), _prepared_table(spark, sf_dir)
+    known = prepared.filter((split.split_part() == "train") & ~F.col("race").isin("MACHINERY"))
+    path = scratch_path(spark, "category-table")
+    category_table.save_categories(category_table.category_table(known, columns), path)
+    indexed = category_table.index_categories(prepared, category_table.load_categories(spark, path), columns)
+    return indexed.select(ROW_KEY, *[f"{c}_indexed" for c in columns])
+
+
+@register
+def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits in parts that hold exactly their share of the patients."""
+    df = encounters(spark, sf_dir, [ROW_KEY, "patient_nbr"])
+    return df.withColumn("part", split.exact_split_part(df))
+
+
+@register
+def user_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's own feature in a saved pipeline: its value after loading, and whether scores are as before saving."""
+    raw, name, path = encounter_table(spark, sf_dir), "Logistic Regression", scratch_path(spark, "user-step")
+    step = ExpressionStep({"visits_per_day": "total_prior_visits / time_in_hospital"}, {"total_prior_visits": "double", "time_in_hospital": "double"})
+    spec = replace(ENCOUNTER_FEATURES, numeric=(*ENCOUNTER_FEATURES.numeric, "visits_per_day"))
+    trained = train_on_raw(*split.prepare_train_test_split(raw), features=spec, models={name: {"maxIter": 20}}, steps=[step])[name].model
+    save_model(trained, path)
+    before = scoring.make_predictions(trained, raw).select(ROW_KEY, F.col(SCORE).alias("before"))
+    after = scoring.make_predictions(load_model(spark, path), raw).join(before, ROW_KEY)
+    return rounded(after.select(ROW_KEY, "visits_per_day", (F.col(SCORE) == F.col("before")).alias("same_after_loading")), "visits_per_day")
+
+
 @register
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a CSV file to scored rows, stopped after the first fit and resumed: rows of each table, and what the run counted."""
