@@ -13,7 +13,10 @@ edits can move them, so no pair is missed; letter counts, which an edit changes
 at most, sieve them. Longer lines have a sketch of ``COORDS`` minima over runs of
 ``GRAM`` bytes, of which an edit touches ``GRAM``; lines of like length that agree in one
 of ``TRIPLES`` and in ``AGREE`` coordinates are candidates. README has the measured
-recall. All pairs of a cluster of candidates are compared by Levenshtein distance.
+recall, and why a SimHash can't take the place of the sketch. Candidate pairs alone are
+compared, by Spark's edit distance with its bound: first a few that span each group of
+like lines, then, of all pairs under all keys, those whose lines are not joined yet.
+A pair that is left out is of two lines joined already, so it can't change a group.
 
 Defined results: null text stays null, has no lines; empty lines stay; a document may lose all its lines
 and then has an empty text; rows that share a ``doc_id`` are one document and a line at
@@ -33,8 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import textbytes as tb
-from riskloom.llm.clusters import linked_components, spanning
-from riskloom.llm.tables import BROADCAST_ROWS, Scratch, freed, small
+from riskloom.llm.tables import BROADCAST_ROWS, Scratch, components, freed, small
 
 SHORT, GRAM, COORDS, AGREE = 39, 5, 32, 10
 #: Coordinates of the buckets; so many of them are dealt at once.
@@ -46,8 +48,6 @@ _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 _NORMAL = np.where(_WORD, np.arange(256), 32).astype(np.uint8)
 _NORMAL[65:91] += 32
 _NORMAL[48:58] = 48
-#: 16 bits of a word's hash to 64 signs.
-_SIGNS = (np.unpackbits(tb.seeds(1 << 16, 21).view(np.uint8)).reshape(-1, 64).astype(np.int8) * 2 - 1).astype(np.int8)
 _FEATURE = tb.Hasher(9)
 
 
@@ -84,23 +84,6 @@ def normalised(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     return out, np.concatenate([place[starts], place[-1:]]) if len(starts) else np.zeros(1, np.int64), words
 
 
-def simhashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """SimHash of each normalised line over its distinct words; 0 without words.
-
-    No step reads it: one edited letter moves a whole word's bits. The tests of the former rule do.
-    """
-    starts, ends, firsts = tb.spans(data, offsets, tb.SPACES)
-    out = np.zeros(len(offsets) - 1, np.uint64)
-    line = np.repeat(np.arange(len(out), dtype=np.uint64), np.diff(firsts))
-    words = np.unique(line << np.uint64(32) | _FEATURE(data, starts, ends) >> np.uint64(32))
-    if len(words):
-        line = (words >> np.uint64(32)).astype(np.int64)
-        first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
-        total = np.add.reduceat(_SIGNS[words & np.uint64(0xFFFF)], first, axis=0, dtype=np.int32)
-        out[line[first]] = np.packbits(total > 0, axis=1).view(np.uint64).ravel()
-    return out
-
-
 def most_edits(length: int, similarity: float) -> int:
     """Edits that two lines at ``similarity`` may be apart if the longer one has ``length`` bytes."""
     return int((1 - similarity) * length + 1e-9)
@@ -207,19 +190,20 @@ def _lines(min_words: int, similarity: float):
 _SKETCH = [f"s{i}" for i in range(COORDS // 8)]
 
 
-def _banded(picked: range):
-    """Even keys of some triples, with the whole sketch."""
+def _banded(picked: range, carried: str = ""):
+    """Even keys of some triples, with the whole sketch and a carried column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sketch = np.stack([batch.column(c).to_numpy() for c in _SKETCH], axis=1).view(np.uint8).reshape(-1, COORDS)
-            step, node = batch.column("step").to_numpy(), batch.column("node").to_numpy()
-            whole = [batch.column(c) for c in _SKETCH]
+            step = batch.column("step").to_numpy()
+            whole, more = [batch.column(c) for c in _SKETCH], [c for c in ("node", carried) if c]
             for i in picked:
                 key = tb.mix(((step + i % 2) // 2).astype(np.uint64) << np.uint64(8) | np.uint64(i))
                 for c in TRIPLES[i]:
                     key = tb.mix(key ^ sketch[:, c])
-                yield pa.RecordBatch.from_arrays([pa.array((key & ~np.uint64(1)).view(np.int64)), *whole, pa.array(node)], ["key", *_SKETCH, "node"])
+                columns = [pa.array((key & ~np.uint64(1)).view(np.int64)), *whole, *(batch.column(c) for c in more)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", *_SKETCH, *more])
 
     return run
 
@@ -242,6 +226,64 @@ def _close_pairs(apart: int):
     return run
 
 
+def _parted_pairs(apart: int):
+    """Of rows (key, sketch or counts, node, part) sorted by key: all pairs of close lines of one key in different parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64), np.zeros((0, len(_SKETCH)), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        for batch in batches:
+            now = [batch.column("key").to_numpy(), np.stack([batch.column(c).to_numpy() for c in _SKETCH], axis=1)]
+            now += [batch.column("node").to_numpy(), batch.column("part").to_numpy()]
+            if not len(now[0]):
+                continue
+            rows = [np.concatenate(x) for x in zip(held, now)]
+            whole = int(np.searchsorted(rows[0], rows[0][-1]))  # the last key may go on
+            held = [x[whole:] for x in rows]
+            yield from _parted_edges(*(x[:whole] for x in rows), apart=apart)
+        yield from _parted_edges(*held, apart=apart)
+
+    return run
+
+
+def _parted_edges(
+    key: np.ndarray, sketch: np.ndarray, node: np.ndarray, part: np.ndarray, wide: int = 32, apart: int = 8, most: int = 1 << 16
+) -> Iterator[pa.RecordBatch]:
+    bounds = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]) if len(key) else np.zeros(1, np.int64)
+    size = np.repeat(np.diff(bounds), np.diff(bounds))
+    pairs, held = [], 0
+    narrow = np.flatnonzero((size > 1) & (size <= wide))
+    for lag in range(1, wide):
+        narrow = narrow[narrow + lag < len(key)]
+        narrow = narrow[key[narrow] == key[narrow + lag]]
+        if not len(narrow):
+            break
+        open_ = narrow[part[narrow] != part[narrow + lag]]
+        if not len(open_):
+            continue
+        hit = open_[_near(key[open_], sketch[open_], sketch[open_ + lag], apart)]
+        pairs.append((node[hit], node[hit + lag]))
+    for first, last in zip(bounds[:-1], bounds[1:]):
+        if last - first <= wide or (part[first:last] == part[first]).all():
+            continue
+        # the members of the largest part come last: they have no partner among themselves
+        parts, inverse, counts = np.unique(part[first:last], return_inverse=True, return_counts=True)
+        order = first + np.argsort(counts[inverse], kind="stable")
+        for i in range(last - first - int(counts.max())):
+            rest = order[i + 1 :][part[order[i + 1 :]] != part[order[i]]]
+            hit = rest[_near(key[order[i]], sketch[rest], sketch[order[i] : order[i] + 1], apart)]
+            pairs.append((np.full(len(hit), node[order[i]]), node[hit]))
+            held += len(hit)
+            if held > most:
+                yield _pair_batch(pairs)
+                pairs, held = [], 0
+    yield _pair_batch(pairs)
+
+
+def _pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
 def _near(key: np.ndarray, a: np.ndarray, b: np.ndarray, apart: int) -> np.ndarray:
     """Odd keys: letter counts at most ``apart`` from each other. Even keys: ``AGREE`` like coordinates."""
     a, b = a.reshape(len(a), -1), b.reshape(-1, a[:1].size)
@@ -312,29 +354,6 @@ def edit_distance(a: bytes, b: bytes) -> int:
     return distance
 
 
-def edit_links(similarity: float):
-    def verify(nodes: list[int], texts: list[bytes]) -> list[tuple[int, int]]:
-        sizes = np.array([len(t) for t in texts])
-        # an edit changes at most four counts of byte pairs by one
-        counts = np.zeros((len(texts), 256), np.int16)
-        for row, t in zip(counts, texts):
-            b = np.frombuffer(t, np.uint8).astype(np.int64)
-            row[:] = np.minimum(np.bincount((b[1:] * 31 + b[:-1]) & 255, minlength=256), 32_000)
-        group = np.arange(len(nodes))
-        pairs = []
-        for i in range(len(nodes)):
-            most = np.floor((1 - similarity) * np.maximum(sizes[i + 1 :], sizes[i]) + 1e-9).astype(np.int64)
-            open_ = i + 1 + np.flatnonzero((group[i + 1 :] != group[i]) & (np.abs(sizes[i + 1 :] - sizes[i]) <= most))
-            open_ = open_[np.abs(counts[open_] - counts[i]).sum(axis=1, dtype=np.int64) <= 4 * most[open_ - i - 1]]
-            for j in open_.tolist():
-                if group[i] != group[j] and edit_distance(texts[i], texts[j]) <= most[j - i - 1]:
-                    group[group == group[j]] = group[i]
-                    pairs.append((i, j))
-        return spanning(nodes, pairs)
-
-    return verify
-
-
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Payload, the normalised line, of the lines that ``wanted`` names, if the text still has them."""
     first = tb.Hasher(5)
@@ -354,7 +373,8 @@ def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                         if int(first(line, ends_[:1], ends_[1:]).view(np.int64)[0]) == w["node"]:
                             nodes.append(w["node"])
                             payloads.append(line.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(payloads, pa.binary())], ["node", "payload"])
+            # a character per byte, so that Spark's edit distance counts bytes
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([p.decode("latin-1") for p in payloads], pa.string())], ["node", "payload"])
 
 
 def repeated_lines(docs: DataFrame, similarity: float = 0.9, min_words: int = 3) -> DataFrame:
@@ -375,31 +395,59 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.9, min_words: int = 3)
     same = long.join(alike.filter("n > 1"), [*_SKETCH, "step"]).filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     apart = 2 * most_edits(int(SHORT / similarity + 1e-9), similarity)
 
-    def close(keyed: DataFrame) -> DataFrame:
-        out = scratch.store(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_close_pairs(apart), "a long, b long").distinct())
+    leaders = alike.select(*_SKETCH, "step", F.col("leader").alias("node"))
+    pieces = classes.select(F.explode("pieces").alias("key"), F.col("counts").alias(_SKETCH[0]), *(F.lit(0).cast("long").alias(c) for c in _SKETCH[1:]), "node")
+
+    def keyed(rows: DataFrame, first: int, carried: str = "") -> DataFrame:
+        return rows.mapInArrow(_banded(range(first, first + AT_ONCE), carried), f"key long, {longs}, node long" + f", {carried} long" * bool(carried))
+
+    def found_by(rows: DataFrame, pairs) -> DataFrame:
+        out = scratch.store(rows.repartition("key").sortWithinPartitions("key").mapInArrow(pairs(apart), "a long, b long").distinct())
         freed(spark)
         return out
 
-    leaders = alike.select(*_SKETCH, "step", F.col("leader").alias("node"))
-    pairs = [close(classes.select(F.explode("pieces").alias("key"), F.col("counts").alias(_SKETCH[0]), *(F.lit(0).cast("long").alias(c) for c in _SKETCH[1:]), "node"))]
-    for i in range(0, len(TRIPLES), AT_ONCE):
-        pairs.append(close(leaders.mapInArrow(_banded(range(i, i + AT_ONCE)), f"key long, {longs}, node long")))
-    candidates = scratch.store(reduce(DataFrame.unionByName, pairs, same).distinct())
-    scratch.drop(alike, *pairs)
-
     def payload_of(nodes: DataFrame) -> DataFrame:
         at = nodes.join(classes, "node").select("first.doc_id", F.struct(F.col("first.line").alias("line"), "node").alias("w"))
         wanted = small(scratch.store(at.groupBy("doc_id").agg(F.collect_list("w").alias("wanted"))))
-        wanted = texts.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_wanted_lines, "node long, payload binary")
-        return wanted.groupBy("node").agg(F.min("payload").alias("payload"))
+        wanted = texts.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_wanted_lines, "node long, payload string")
+        return scratch.store(wanted.groupBy("node").agg(F.min("payload").alias("payload")))
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """Of candidate pairs (a, b) those with the wanted edit similarity."""
+        payload = payload_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        both = pairs.join(payload.select(F.col("node").alias("a"), F.col("payload").alias("x")), "a")
+        both = both.join(payload.select(F.col("node").alias("b"), F.col("payload").alias("y")), "b")
+        longer = F.greatest(F.length("x"), F.length("y"))
+        most = F.floor(F.lit(1 - similarity) * longer + 1e-9).cast("int")
+        close = both.withColumn("most", most).filter(F.abs(F.length("x") - F.length("y")) <= F.col("most"))
+        out = scratch.store(close.filter(F.expr("levenshtein(x, y, most) >= 0")).select("a", "b"))
+        scratch.drop(payload)
+        freed(spark)
+        return out
 
-    roots = linked_components(scratch, candidates, payload_of, edit_links(similarity))
+    # first edges that span the groups of like lines of a few keys: they join nearly all copies
+    spanning = [same, found_by(pieces, _close_pairs), found_by(keyed(leaders, 0), _close_pairs)]
+    pairs = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    tried = scratch.store(reduce(DataFrame.unionByName, spanning).select(*pairs).distinct())
+    links = links_of(tried)
+    joined = components(scratch, links)
+
+    # then every pair of like lines that is not joined yet, under all keys
+    def parted(rows: DataFrame) -> DataFrame:
+        return rows.join(joined, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
+
+    apart_long = scratch.store(parted(long))
+    left = [found_by(parted(pieces), _parted_pairs)]
+    left += [found_by(keyed(apart_long, i, "part"), _parted_pairs) for i in range(0, len(TRIPLES), AT_ONCE)]
+    rest = scratch.store(reduce(DataFrame.unionByName, left).distinct().join(tried, ["a", "b"], "left_anti"))
+    scratch.drop(alike, apart_long, *spanning[1:], *left)
+    roots = components(scratch, links.unionByName(links_of(rest)))
     grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = scratch.store(grouped.groupBy("root").agg(F.min("first").alias("kept")).select("root", "kept"))
     named = grouped.select("node", "check", "root").join(kept, "root").select("node", "check", "kept")
     gone = lines.join(named, ["node", "check"]).filter(place != F.col("kept"))
     out = scratch.store(gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")))
-    scratch.drop(found, classes, kept, candidates)
+    scratch.drop(found, classes, kept, tried, rest, links, joined)
     return out
 
 

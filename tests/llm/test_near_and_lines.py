@@ -110,7 +110,7 @@ def normal(line):
 
 
 def expected_lines(rows, similarity=0.9, min_words=3):
-    """{doc_id: removed line numbers} from all pairs of lines."""
+    """{doc_id: removed line numbers} from all pairs of lines, by edit similarity alone."""
     lines = {}
     for d, t in rows:
         if d is not None and t:
@@ -118,14 +118,12 @@ def expected_lines(rows, similarity=0.9, min_words=3):
                 w = normal(line)
                 if len(w) >= min_words:
                     lines[d, i] = " ".join(w).encode("latin-1")
-    sims = {}
-    for t in set(lines.values()):
-        sims[t] = int(line_dedup.simhashes(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0])
     places, links = sorted(lines), []
     for i, p in enumerate(places):
         for q in places[i + 1 :]:
             a, b = lines[p], lines[q]
-            if a == b or (bin(sims[a] ^ sims[b]).count("1") <= 3 and levenshtein(a, b) <= int((1 - similarity) * max(len(a), len(b)) + 1e-9)):
+            most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+            if a == b or (abs(len(a) - len(b)) <= most and line_dedup.edit_distance(a, b) <= most):
                 links.append((p, q))
     root = roots(places, links)
     out = {}
@@ -184,6 +182,37 @@ def levenshtein_lines(rows, min_words):
     return out
 
 
+def test_parted_pairs_are_all_close_pairs_of_different_parts():
+    rnd = np.random.default_rng(4)
+    for members, kinds in ((20, 5), (300, 4), (300, 300), (90, 1)):
+        base = rnd.integers(0, 1 << 62, (3, 4))
+        sketch, key = base[rnd.integers(0, 3, members)].copy(), np.repeat([0, 2], members)[:members]
+        sketch[:, 0] ^= rnd.integers(0, 1 << 40, members)
+        node, part = np.arange(members), rnd.integers(0, kinds, members)
+        found = set()
+        for batch in line_dedup._parted_edges(key, sketch, node, part, most=50):
+            found |= set(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
+        alike = (sketch.view(np.uint8).reshape(members, -1)[:, None] == sketch.view(np.uint8).reshape(members, -1)[None]).sum(2) >= line_dedup.AGREE
+        assert found == {(i, j) for i in range(members) for j in range(i + 1, members) if alike[i, j] and part[i] != part[j] and key[i] == key[j]}
+
+
+def test_registered_query_equals_brute_force(spark, tmp_path):
+    import hashlib
+
+    from riskloom.llm.queries import QUERIES
+
+    rows = [(d, t) for d, t in awkward() if d not in (50, None)]
+    rows += [(70, "Menu\nHome\n" + prose(21, 40)), (71, "menu\n--\n" + prose(21, 40).replace("an", "am", 1)), (72, "\n\nHome page"), (None, "Menu\nMenu")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    gone, wanted = expected_lines(rows, min_words=1), []
+    for d, t in rows:
+        lines = t.split("\n") if t else []
+        kept = None if t is None else "\n".join(x for i, x in enumerate(lines) if i not in gone.get(d, []))
+        wanted.append((d, len(lines), len(gone.get(d, [])), kept if kept is None else hashlib.sha256(kept.encode()).hexdigest()))
+    found = QUERIES["op2_line_dedup"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(wanted, key=str) and sum(w[2] for w in wanted) > 4
+
+
 def test_edited_lines_equal_levenshtein_alone(spark):
     rnd, rows = random.Random(5), []
     for k in range(120):
