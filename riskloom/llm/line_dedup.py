@@ -14,7 +14,7 @@ at most, sieve them. Longer lines have a sketch of ``COORDS`` minima over runs o
 ``GRAM`` bytes, of which an edit touches ``GRAM``; lines of like length that agree in one
 of ``TRIPLES`` and in ``AGREE`` coordinates are candidates. README has the measured
 recall, and why a SimHash can't take the place of the sketch. Candidate pairs alone are
-compared, by Spark's edit distance with its bound: first a few that span each group of
+compared by edit distance: first a few that span each group of
 like lines, then, of all pairs under all keys, those whose lines are not joined yet.
 A pair that is left out is of two lines joined already, so it can't change a group.
 
@@ -354,6 +354,54 @@ def edit_distance(a: bytes, b: bytes) -> int:
     return distance
 
 
+def _common(a: bytes, i: int, b: bytes, j: int) -> int:
+    """How many bytes from ``i`` and ``j`` on are the same."""
+    n, most, step = 0, min(len(a) - i, len(b) - j), 32
+    while n < most:
+        size = min(step, most - n)
+        if a[i + n : i + n + size] == b[j + n : j + n + size]:
+            n, step = n + size, 2 * step
+        elif size == 1:
+            break
+        else:
+            step = max(1, size // 4)
+    return n
+
+
+def within(a: bytes, b: bytes, most: int, few: int = 12) -> bool:
+    """Whether the Levenshtein distance is at most ``most``.
+
+    Up to ``few`` edits are looked for along diagonals, which costs little in the longest lines.
+    """
+    goal = len(b) - len(a)
+    if abs(goal) > most:
+        return False
+    reached = {0: _common(a, 0, b, 0)}
+    for edits in range(min(few, most) + 1):
+        if edits:
+            before, reached = reached, {}
+            for k in range(-edits, edits + 1):
+                i = max(before.get(k, -2) + 1, before.get(k - 1, -2), before.get(k + 1, -2) + 1)
+                i = min(i, len(a), len(b) - k)
+                if i >= max(0, -k):
+                    reached[k] = i + _common(a, i, b, i + k)
+        if reached.get(goal, -1) >= len(a):
+            return True
+    return most > few and edit_distance(a, b) <= most
+
+
+def _alike(similarity: float):
+    """Of rows (a, b, x, y) those whose lines x and y have the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            kept = pa.array([within(x, y, most_edits(max(len(x), len(y)), similarity)) for x, y in pairs], pa.bool_())
+            yield batch.select(["a", "b"]).filter(kept)
+
+    return run
+
+
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Payload, the normalised line, of the lines that ``wanted`` names, if the text still has them."""
     first = tb.Hasher(5)
@@ -373,8 +421,7 @@ def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                         if int(first(line, ends_[:1], ends_[1:]).view(np.int64)[0]) == w["node"]:
                             nodes.append(w["node"])
                             payloads.append(line.tobytes())
-            # a character per byte, so that Spark's edit distance counts bytes
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([p.decode("latin-1") for p in payloads], pa.string())], ["node", "payload"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(payloads, pa.binary())], ["node", "payload"])
 
 
 def repeated_lines(docs: DataFrame, similarity: float = 0.9, min_words: int = 3) -> DataFrame:
@@ -409,7 +456,7 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.9, min_words: int = 3)
     def payload_of(nodes: DataFrame) -> DataFrame:
         at = nodes.join(classes, "node").select("first.doc_id", F.struct(F.col("first.line").alias("line"), "node").alias("w"))
         wanted = small(scratch.store(at.groupBy("doc_id").agg(F.collect_list("w").alias("wanted"))))
-        wanted = texts.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_wanted_lines, "node long, payload string")
+        wanted = texts.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_wanted_lines, "node long, payload binary")
         return scratch.store(wanted.groupBy("node").agg(F.min("payload").alias("payload")))
 
     def links_of(pairs: DataFrame) -> DataFrame:
@@ -417,10 +464,7 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.9, min_words: int = 3)
         payload = payload_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = pairs.join(payload.select(F.col("node").alias("a"), F.col("payload").alias("x")), "a")
         both = both.join(payload.select(F.col("node").alias("b"), F.col("payload").alias("y")), "b")
-        longer = F.greatest(F.length("x"), F.length("y"))
-        most = F.floor(F.lit(1 - similarity) * longer + 1e-9).cast("int")
-        close = both.withColumn("most", most).filter(F.abs(F.length("x") - F.length("y")) <= F.col("most"))
-        out = scratch.store(close.filter(F.expr("levenshtein(x, y, most) >= 0")).select("a", "b"))
+        out = scratch.store(both.select("a", "b", "x", "y").mapInArrow(_alike(similarity), "a long, b long"))
         scratch.drop(payload)
         freed(spark)
         return out

@@ -104,6 +104,16 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == levenshtein(a, b)
 
 
+def test_within_bounds():
+    rnd = random.Random(3)
+    for _ in range(3000):
+        a = bytes(rnd.choices(b"abc", k=rnd.randint(0, 40)))
+        b = edited(rnd, a.decode() + "x", rnd.randint(0, 9)).encode() if rnd.random() < 0.7 else bytes(rnd.choices(b"abc", k=rnd.randint(0, 40)))
+        d = levenshtein(a, b)
+        for most, few in ((0, 3), (2, 3), (5, 2), (9, 9), (30, 4)):
+            assert line_dedup.within(a, b, most, few) == (d <= most), (a, b, d, most)
+
+
 def normal(line):
     word = "".join(chr(b) if line_dedup._WORD[b] else " " for b in line.encode("utf-8")).translate(LOWER)
     return [w for w in re.sub("[0-9]", "0", word).split(" ") if w]
