@@ -7,6 +7,27 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+
+@dataclass(frozen=True)
+class FeatureSpec:
+    """Which columns feed a model, by kind."""
+
+    numeric: tuple[str, ...]
+    binary: tuple[str, ...]
+    categorical: tuple[str, ...]
+
+    @property
+    def all(self) -> tuple[str, ...]:
+        return self.numeric + self.binary + self.categorical
+
+    def available(self, columns: Sequence[str]) -> FeatureSpec:
+        """The part of the spec whose columns exist."""
+        have = set(columns)
+        return FeatureSpec(
+            *(tuple(c for c in group if c in have) for group in (self.numeric, self.binary, self.categorical))
+        )
+
+
 # --- Fixed values: names, codes, labels and thresholds of the data set. -------------
 
 ENTITY_KEY = "patient_nbr"
@@ -130,11 +151,21 @@ ADMISSION_SOURCES = {
     26: "Transfer from Hospice",
 }
 
-# --- End of fixed values. ------------------------------------------------------------
-
 # Age ranges are ten years wide; the midpoint stands for the range.
 AGE_MIDPOINTS = {f"[{low}-{low + 10})": low + 5 for low in range(0, 100, 10)}
 
+ENCOUNTER_FEATURES = FeatureSpec(
+    numeric=MEDIAN_FILL_COLUMNS + ("total_prior_visits", "complexity_score", "age_numeric"),
+    binary=(
+        "emergency_admission", "admitted_from_er", "discharged_not_home",
+        "left_ama", "high_utilizer", "frequent_er_visitor", "is_elderly",
+        "a1c_tested", "a1c_abnormal", "glucose_tested", "on_insulin", "med_changed",
+    ),
+    categorical=("race", "gender", "admission_type_group", "admission_source_group", "discharge_group"),
+)
+
+# --- End of fixed values. ------------------------------------------------------------
+
 _BIGINT_COLUMNS = (ROW_KEY, ENTITY_KEY)
 _INT_COLUMNS = (
     "admission_type_id", "discharge_disposition_id", "admission_source_id",
@@ -163,34 +194,3 @@ COMPARISON_SCHEMA = T.StructType(
         for c in ("True_Positives", "True_Negatives", "False_Positives", "False_Negatives")
     ]
 )
-
-
-@dataclass(frozen=True)
-class FeatureSpec:
-    """Which columns feed a model, by kind."""
-
-    numeric: tuple[str, ...]
-    binary: tuple[str, ...]
-    categorical: tuple[str, ...]
-
-    @property
-    def all(self) -> tuple[str, ...]:
-        return self.numeric + self.binary + self.categorical
-
-    def available(self, columns: Sequence[str]) -> FeatureSpec:
-        """The part of the spec whose columns exist."""
-        have = set(columns)
-        return FeatureSpec(
-            *(tuple(c for c in group if c in have) for group in (self.numeric, self.binary, self.categorical))
-        )
-
-
-ENCOUNTER_FEATURES = FeatureSpec(
-    numeric=MEDIAN_FILL_COLUMNS + ("total_prior_visits", "complexity_score", "age_numeric"),
-    binary=(
-        "emergency_admission", "admitted_from_er", "discharged_not_home",
-        "left_ama", "high_utilizer", "frequent_er_visitor", "is_elderly",
-        "a1c_tested", "a1c_abnormal", "glucose_tested", "on_insulin", "med_changed",
-    ),
-    categorical=("race", "gender", "admission_type_group", "admission_source_group", "discharge_group"),
-)
