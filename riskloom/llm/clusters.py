@@ -3,7 +3,8 @@
 Candidate pairs come as stars (a, b) from sketch buckets. Their components are the
 candidate clusters; every link between two of a cluster's members is looked for, so
 no pair of a bucket is lost although only stars are emitted. A cluster is dealt into
-blocks of at most about ``BLOCK`` members, each with the cluster's smallest member:
+blocks of at most about ``BLOCK`` members and ``BLOCK_BYTES`` of payload (one member may
+be larger), each with the cluster's smallest member:
 
 1. inside each block all pairs are verified, and a spanning forest of the links kept;
 2. members that are not yet joined to the cluster's smallest one (few, in a group of
@@ -18,12 +19,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.tables import Scratch, components
 
-BLOCK = 512
+BLOCK, BLOCK_BYTES = 512, 128 << 20
 Verify = Callable[[list[int], list[bytes]], Iterable[tuple[int, int]]]
 
 
@@ -84,6 +85,11 @@ def _verified(cells: DataFrame, payload: DataFrame, verify: Verify) -> DataFrame
     return dealt.mapInArrow(links, "a long, b long")
 
 
+def _parts(block: int) -> Column:
+    """How many blocks the grouped members need, by number and by bytes."""
+    return F.ceil(F.greatest(F.count("*") / block, F.sum("bytes") / BLOCK_BYTES)).cast("int")
+
+
 def linked_components(
     scratch: Scratch, candidates: DataFrame, payload_of: Callable[[DataFrame], DataFrame], verify: Verify, block: int = BLOCK
 ) -> DataFrame:
@@ -93,10 +99,11 @@ def linked_components(
     ``verify(nodes, payloads)`` gives a spanning set of the links among them.
     """
     clusters = components(scratch, candidates)
-    payload = scratch.store(payload_of(clusters.select("node")))
-    sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    payload = scratch.store(payload_of(clusters.select("node")).withColumn("bytes", F.octet_length("payload").cast("long")))
+    weighed = clusters.join(payload.select("node", "bytes"), "node")
+    sizes = weighed.groupBy("root").agg(_parts(block).alias("blocks"))
     members = scratch.store(
-        clusters.join(sizes, "root").select("root", "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+        weighed.join(sizes, "root").select("root", "node", "bytes", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     )
     everywhere = F.when(F.col("node") == F.col("root"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     cells = members.withColumn("block", F.explode(everywhere)).select(F.xxhash64("root", "block").alias("cell"), "node")
@@ -112,8 +119,8 @@ def _crossing(scratch: Scratch, split: DataFrame, links: DataFrame, block: int)
     """Cells (cell, node) where members not joined to their cluster's root meet each block."""
     joined = components(scratch, links).withColumnRenamed("root", "found")
     known = split.join(joined, "node", "left").withColumn("found", F.coalesce("found", "node"))
-    loose = known.filter("found <> root").select("root", "node", "block", "blocks")
-    parts = loose.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    loose = known.filter("found <> root").select("root", "node", "bytes", "block", "blocks")
+    parts = loose.groupBy("root").agg(_parts(block).alias("parts"))
     loose = scratch.store(loose.join(parts, "root").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")))
     one = split.join(parts, "root").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     other = loose.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -7,17 +7,20 @@ first round that reached it. After 2 t rounds every coordinate is filled, and tw
 sketches agree in a coordinate with a probability of the sets' Jaccard similarity,
 concentrated as with independent trials. Long texts need one or two rounds.
 
-Bands of coordinates give bucket keys. Equal sets are one class first; buckets give
-stars of classes, and :mod:`clusters` verifies all links on the full sets.
+Bands of coordinates give bucket keys; their number and width follow from the similarity
+asked for (``banding``). Equal sets (by a 128-bit fingerprint) are one class first, and
+classes, not documents, are the nodes of all further steps; buckets give stars of classes,
+and :mod:`clusters` verifies all links on the full sets.
 
 Defined results: null or empty text, or text without words, has no set (0 shingles) and
-is linked with nothing; rows that share a ``doc_id`` are one document; a null ``doc_id``
-is linked with nothing and kept. Only ``doc_id`` and ``text`` are read, so other columns
-may have any name.
+is linked with nothing; rows that share a ``doc_id`` are one document, and all their sets
+link; a null ``doc_id`` is linked with nothing and kept. Only ``doc_id`` and ``text`` are
+read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +32,19 @@ from riskloom.llm import textbytes as tb
 from riskloom.llm.clusters import linked_components, spanning
 from riskloom.llm.tables import Scratch, components, small
 
-BANDS, ROWS = 20, 5
+COORDINATES, MISS = 100, 1e-5
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+def banding(share: tuple[int, int]) -> tuple[int, int]:
+    """(bands, rows): the widest bands that miss a pair at this similarity with a probability of ``MISS`` at most."""
+    like = min(share[0] / share[1], 1 - 1e-9)
+    for rows in range(8, 1, -1):
+        if (1 - like**rows) ** (COORDINATES // rows) <= MISS:
+            return COORDINATES // rows, rows
+    return math.ceil(math.log(MISS) / math.log(1 - like)), 1
+
+
 def shingle_sets(column: pa.Array, hasher: tb.Hasher, width: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text."""
     data, offsets = tb.utf8(column)
@@ -83,12 +95,13 @@ def _sketched(width: int, bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("mark"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(prints[:, 0]),
                         pa.array(prints[:, 1]),
                         pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * bands, pa.array(keys.ravel().view(np.int64))),
                     ],
-                    ["doc_id", "n_shingles", "print_a", "print_b", "bands"],
+                    ["doc_id", "mark", "n_shingles", "print_a", "print_b", "bands"],
                 )
 
     return run
@@ -133,39 +146,52 @@ def jaccard_links(share: tuple[int, int]):
     return verify
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100), bands: int = BANDS, rows: int = ROWS
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100)) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id that links lead to), kept; a row per input row.
 
-    With 20 bands of 5 rows a pair at similarity 0.85 shares a bucket with probability
-    1 - 8e-6, at 0.8 with 0.9996; pairs of one candidate cluster are compared in any case.
+    A pair at the similarity asked for shares a bucket with a probability of at least
+    1 - ``MISS``; pairs of one candidate cluster are compared in any case.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
+    bands, rows = banding(share)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>"
+    texts = texts.withColumn("mark", F.xxhash64("text"))  # tells texts under one doc_id apart
+    schema = "doc_id long, mark long, n_shingles long, print_a long, print_b long, bands array<long>"
     sketched = scratch.store(texts.mapInArrow(_sketched(width, bands, rows), schema))
     full = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    first = full.groupBy("print_a", "print_b").agg(F.min("doc_id").alias("rep"))
-    own = full.join(first, ["print_a", "print_b"])
-    member = scratch.store(own.select("doc_id", "rep").filter("doc_id <> rep").distinct())
-    keys = scratch.store(own.filter("doc_id = rep").select("rep", F.explode("bands").alias("band")))
-    leaders = keys.groupBy("band").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    stars = keys.join(leaders, "band").filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+    classes = full.groupBy("print_a", "print_b").agg(F.min(F.struct("doc_id", "mark")).alias("rep"))
+    classes = scratch.store(classes.withColumn("node", F.monotonically_increasing_id()))
+    own = full.join(classes, ["print_a", "print_b"])
+    repeated = not full.groupBy("doc_id", "mark").count().filter("count > 1").isEmpty()
+    once = (lambda df: df.dropDuplicates(["node"])) if repeated else (lambda df: df)  # a class's first text may stand in many rows
+    belongs = own.select("doc_id", "node")
+    belongs = scratch.store(belongs.distinct() if repeated else belongs)
+    firsts = once(own.filter("doc_id = rep.doc_id AND mark = rep.mark"))
+    keys = scratch.store(firsts.select("node", F.explode("bands").alias("band")))
+    leaders = keys.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    stars = keys.join(leaders, "band").filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     stars = scratch.store(stars.distinct())
     scratch.drop(keys)
 
     def payload_of(nodes: DataFrame) -> DataFrame:
-        wanted = texts.join(small(nodes), F.col("doc_id") == F.col("node")).select("node", "text")
-        return wanted.mapInArrow(_set_payload(width), "node long, payload binary")
+        wanted = nodes.join(classes, "node").select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.mark").alias("rep_mark"))
+        wanted = scratch.store(wanted)
+        found = texts.join(small(wanted), (F.col("doc_id") == F.col("rep_id")) & (F.col("mark") == F.col("rep_mark"))).select("node", "text")
+        return once(found).mapInArrow(_set_payload(width), "node long, payload binary")
 
     linked = linked_components(scratch, stars, payload_of, jaccard_links(share))
-    both = linked.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(member.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    roots = components(scratch, both)
-    out = sketched.select("doc_id", "n_shingles").join(roots, F.col("doc_id") == F.col("node"), "left")
+    lowest = belongs.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").drop("high")
+    together = scratch.store(belongs.join(lowest, "doc_id").filter("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")))
+    if not together.isEmpty():  # documents of several sets
+        linked = components(scratch, linked.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(together))
+    placed = belongs.join(linked, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
+    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = placed.join(least, "root").filter("doc_id <> component_id").select(F.col("doc_id").alias("id"), "component_id")
+    named = scratch.store(named.distinct() if repeated else named)
+    if not together.isEmpty():
+        named = named.distinct()
+    out = sketched.join(named, F.col("doc_id") == F.col("id"), "left")
     return out.select(
-        "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"),
-        F.coalesce(F.col("root") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.col("component_id").isNull().alias("kept")
     )
-

@@ -26,6 +26,7 @@ def expected_components(rows, width, num, den):
 def test_near_duplicates_equal_brute_force(spark, width, share):
     rows = awkward()
     rows += [rows[0], rows[12]]  # repeated rows
+    rows += [(70, prose(31, 90)), (70, prose(32, 90)), (71, prose(31, 90)), (72, prose(32, 90) + " end"), (19, prose(33, 80)), (73, prose(33, 80)), (73, prose(9, 50))]
     found = near_dedup.near_duplicates(frame(spark, rows), width, share).collect()
     wanted = expected_components(rows, width, *share)
     assert len(found) == len(rows)
@@ -41,6 +42,27 @@ def test_near_duplicates_equal_brute_force(spark, width, share):
             assert r.kept == (r.component_id == r.doc_id)
 
 
+def test_texts_under_one_doc_id_all_link(spark):
+    a, b = prose(41, 100), prose(42, 100)
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (1, a)]
+    found = near_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert len(found) == 5 and {r.component_id for r in found} == {1} and {r.doc_id for r in found if r.kept} == {1}
+
+
+def test_cells_are_bounded_by_bytes_too(spark, monkeypatch):
+    rows = [(i, prose(51, 200) + f" {i % 7}") for i in range(40)] + [(90, prose(52, 200))]
+    monkeypatch.setattr(clusters, "BLOCK_BYTES", 4000)
+    found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert found == expected_components(rows, 5, 80, 100)
+
+
+def test_bands_follow_the_similarity():
+    for share in ((85, 100), (80, 100), (1, 2), (1, 10), (1, 1)):
+        bands, rows = near_dedup.banding(share)
+        assert (1 - (share[0] / share[1]) ** rows) ** bands <= 1.01 * near_dedup.MISS
+    assert near_dedup.banding((85, 100)) == (20, 5)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(frame(spark, [])).collect() == []
 
