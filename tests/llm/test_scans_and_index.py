@@ -61,11 +61,12 @@ def test_target_bytes_give_the_number_of_leaves(spark):
 
 def brute_top(rows, k):
     good = [(i, [int(np.floor(float(np.float32(x)) * 64)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    out = set()
-    for q, a in set((i, tuple(v)) for i, v in good if i % 20 == 0):
-        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in set((i, tuple(v)) for i, v in good) if i != q)
-        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])}
-    return out
+    out = []
+    for q in {i for i, _ in good if i % 20 == 0}:
+        own = {tuple(v) for i, v in good if i == q}
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for a in own for i, b in good if i != q)
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
 
 
 def test_top_products(spark):
@@ -74,13 +75,27 @@ def test_top_products(spark):
     rows += [(500 + i, rows[7][1]) for i in range(80)] + [(600 + i, [0.5] * 12) for i in range(60)]
     rows += [(700, None), (720, [None] * 12), (740, [float("nan")] * 12), (701, [float("inf")] * 12), (None, rows[0][1]), rows[20], (760, [2.0, 1.0]), (780, [])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, query long")
-    found = {tuple(r) for r in mtree_search.top_products(df).collect()}
-    assert found == brute_top(rows, 20)
+    rows += [(801, rows[60][1])] * 30 + [(60, rows[60][1])] * 25 + [(60, rows[61][1])] + [(820, [3.0] * 12)] * 40 + [(822, [3.0] * 12)] * 2 + [(840, [3.0] * 12)]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, query long")
+    assert sorted(tuple(r) for r in mtree_search.top_products(df).collect()) == brute_top(rows, 20)
+    four = spark.createDataFrame([(0, [1.0]), (1, [1.0]), (1, [1.0]), (2, [2.0])], "vec_id long, embedding array<float>")
+    assert [tuple(r) for r in mtree_search.top_products(four).orderBy("rank").collect()] == [(0, 1, 2, 8192), (0, 2, 1, 4096), (0, 3, 1, 4096)]
     few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(0, 100, 20)], "vec_id long, embedding array<float>")
     assert mtree_search.top_products(few).count() == 20
     assert mtree_search.top_products(few.limit(0)).collect() == []
 
 
+def test_top_products_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mtree_search, "BLOCK", 60)
+    monkeypatch.setattr(mtree_search, "QUERIES", 4)
+    monkeypatch.setattr(mtree_search, "_turn", lambda width: 4)
+    rnd = np.random.default_rng(8)
+    centres = rnd.normal(size=(9, 6)) * 5
+    rows = [(i, (centres[i % 9] + rnd.normal(size=6) * 0.05).tolist()) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(tuple(r) for r in mtree_search.top_products(df).collect()) == brute_top(rows, 20)
+
+
 def test_tree_prunes_and_stays_exact():
     rnd = np.random.default_rng(5)
     centres = rnd.integers(-2000, 2000, (40, 8))
@@ -97,6 +112,7 @@ def test_tree_prunes_and_stays_exact():
         wanted = sorted(((-(x[i] @ v), n) for n, v in enumerate(x)))[:5]
         assert [(-s, tree.ids[e][0]) for s, e in found] == wanted
     assert sum(asked) < 50 * len(tree.radii) / 3
+    assert tree.products < 50 * len(x) / 3
     big = np.array([[2**30, 1], [2**30, 2], [-(2**30), 5]])
     assert [[s for s, _ in f] for f in mtree_search.Tree(big, [[0], [1], [2]]).search(big[:1], 2)] == [[2**60 + 2, 2**60 + 1]]
 
