@@ -3,11 +3,13 @@
 All rolling ``k``-word grams of a text are joined by hash (and, to be exact, by their
 words) with the positions of the same grams in the templates. A hit votes for the
 diagonal word position minus template position, and carries the template position as a
-bit. Diagonals of one text and template that lie within ``SHIFT`` words of the next one
-are merged, as inserted or missing words move a match from one to the other; the bits of
-a merged group say which part of the template is there. A template is found if its share
-is at least the template's own bound: all for the base phrases, which are counted on
-single diagonals, ``NOTICE`` for license notices.
+bit. A diagonal is merged with those up to ``DRIFT`` words above it, as inserted or missing
+words move a match from one to the other; the merged bits say which part of the template
+is there. So a span is verified by construction: each counted gram stands within ``DRIFT``
+words of its place in the template, and a span is at most so much longer than that;
+word pairs scattered over a text, or in another order, don't add up. A template is found
+if its share is at least the template's own bound: all for the base phrases, which are
+counted on single diagonals, ``NOTICE`` for license notices.
 
 Templates are constants, given as an argument; the table of their grams is a local
 relation, which Spark broadcasts by its own size limit or else joins by a shuffle.
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRAM, SHIFT, NOTICE = 2, 3, 0.6
+GRAM, DRIFT, NOTICE = 2, 8, 0.6
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -89,10 +91,9 @@ def scanned(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, k: int
     key = ["row", "doc_id", "n_words", "template", "label", "base", "grams"]
     bit = F.expr("shiftleft(1L, at)")
     votes = hits.withColumn("diagonal", F.col("place") - F.col("at")).groupBy(*key, "diagonal").agg(F.bit_or(bit).alias("bits"))
-    order = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(order) > SHIFT)
-    islands = votes.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("island", F.sum("apart").over(order))
-    spans = islands.groupBy(*key, "island").agg(F.bit_or("bits").alias("bits"), F.min("diagonal").cast("long").alias("start"))
+    near = Window.partitionBy("row", "template").orderBy("diagonal").rangeBetween(0, DRIFT)
+    spans = votes.withColumn("bits", F.when(F.col("base"), F.col("bits")).otherwise(F.bit_or("bits").over(near)))
+    spans = spans.withColumn("start", F.col("diagonal").cast("long"))
     share = F.coalesce(F.bit_count("bits") / F.col("grams"), F.lit(0.0))
     found = spans.withColumn("share", share)
     place = F.when(F.col("base") & (F.col("share") == 1), F.col("start"))

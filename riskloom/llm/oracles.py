@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm.license_scan import GRAM, LOWER, NOTICE, SHIFT, TEMPLATES, UPPER
+from riskloom.llm.license_scan import DRIFT, GRAM, LOWER, NOTICE, TEMPLATES, UPPER
 
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -22,11 +22,11 @@ def _license() -> str:
             SELECT r, template, label, base, grams, place - spot AS diagonal, bit_or(CAST(1 AS BIGINT) << spot) AS bits
             FROM g JOIN templates USING (gram) GROUP BY ALL
         ),
-        apart AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER o > {SHIFT}, true) THEN 1 ELSE 0 END AS part
-                  FROM votes WINDOW o AS (PARTITION BY r, template ORDER BY diagonal)),
-        islands AS (SELECT *, sum(part) OVER (PARTITION BY r, template ORDER BY diagonal) AS island FROM apart),
-        spans AS (SELECT r, label, base, min(diagonal) AS start, bit_count(bit_or(bits)) / CAST(grams AS DOUBLE) AS share
-                  FROM islands GROUP BY r, template, label, base, grams, island),
+        merged AS (
+            SELECT r, label, base, grams, diagonal AS start, CASE WHEN base THEN bits ELSE bit_or(bits) OVER o END AS bits
+            FROM votes WINDOW o AS (PARTITION BY r, template ORDER BY diagonal RANGE BETWEEN CURRENT ROW AND {DRIFT} FOLLOWING)
+        ),
+        spans AS (SELECT r, label, base, start, bit_count(bits) / CAST(grams AS DOUBLE) AS share FROM merged),
         found AS (
             SELECT r, count(*) FILTER (WHERE base AND share = 1) AS n_base,
                    min(start) FILTER (WHERE base AND share = 1) AS first_word, max(start) FILTER (WHERE base AND share = 1) AS last_word,

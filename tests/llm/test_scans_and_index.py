@@ -34,6 +34,20 @@ def test_license_scan(spark):
     assert license_scan.scanned(frame(spark, [])).collect() == []
 
 
+def test_scattered_or_reordered_notices_get_no_label(spark):
+    rows, spread = [], []
+    for n, t in enumerate(license_scan.TEMPLATES[3:]):
+        words = t.words.split()
+        pairs = [words[i : i + 2] for i in range(len(words) - 1)]
+        rows += [(n, " ".join(f"{a} {b} {prose(n, 2)}" for a, b in pairs)), (20 + n, " ".join(f"{a} {b}" for a, b in pairs[::-1]))]
+        spread.append((40 + n, prose(n, 40) + " " + " ".join(words[:5] + ["oh", "so"] + words[5:9] + words[10:]) + " " + prose(n, 40)))
+    found = {r.doc_id: r for r in license_scan.scanned(frame(spark, rows + spread)).collect()}
+    notices = {t.label for t in license_scan.TEMPLATES if not t.base}
+    for n, t in enumerate(license_scan.TEMPLATES[3:]):
+        assert not notices & set((found[n].labels + "," + found[20 + n].labels).split(","))
+        assert t.label in found[40 + n].labels.split(",")
+
+
 def test_kd_shards_are_near_equal(spark):
     rows = awkward() + [(200 + i, "tied" * 30) for i in range(300)] + [(5, "again")]
     for shards in (1, 3, 8):
