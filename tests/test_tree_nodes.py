@@ -95,3 +95,11 @@ def test_rows_are_dealt_evenly_and_in_one_order(spark, rows):
     second = layout.dealt(rows.repartition(7, "b"), columns, 4000, 500)
     assert first.rdd.glom().collect() == second.rdd.glom().collect()
     assert layout.task_count(0) == 1 and layout.task_count(10**12) == layout.MOST_TASKS
+
+
+def test_tasks_of_a_fit_do_not_grow_with_the_rows_before_they_are_full():
+    assert [layout.task_count(n) for n in (12_500, 100_000, 600_000)] == [1, 8, 48]
+    assert layout.task_count(600_001) == layout.task_count(6_000_000) == layout.ENOUGH_TASKS
+    assert layout.task_count(36_000_000) == 72
+    counts = [layout.task_count(10**6 * n, 700) for n in range(1, 200)]
+    assert counts == sorted(counts)
