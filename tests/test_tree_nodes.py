@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.operators import layout, tree_nodes
-from riskloom.operators.training import FEATURES, importances, train_all_models
+from riskloom.operators.training import FEATURES, importances, make_classifier, train_all_models, training_rows
 from riskloom.sources.sinks import save_model
 
 SMALL = {"Random Forest": {"numTrees": 7, "maxDepth": 5}, "Gradient Boosted Trees": {"maxIter": 6, "maxDepth": 3}}
@@ -103,3 +103,12 @@ def test_tasks_of_a_fit_do_not_grow_with_the_rows_before_they_are_full():
     assert layout.task_count(36_000_000) == 72
     counts = [layout.task_count(10**6 * n, 700) for n in range(1, 200)]
     assert counts == sorted(counts)
+
+
+def test_rows_of_a_forest_keep_their_nodes_and_the_trees_are_the_same(spark, rows):
+    encoded, _ = training_rows(rows, NUMBERS, FLAGS, WORDS, rows_per_task=700)
+    kept = make_classifier("Random Forest", **SMALL["Random Forest"])
+    assert kept.getCacheNodeIds()
+    walked = make_classifier("Random Forest", **SMALL["Random Forest"], cacheNodeIds=False)
+    first, second = ([t.toDebugString.split("\n", 1)[1] for t in c.fit(encoded).trees] for c in (kept, walked))
+    assert first == second
