@@ -1,7 +1,9 @@
 import pytest
+from pyspark.ml.feature import VectorAssembler
 
 from riskloom.functions import risk_band
 from riskloom.operators import features
+from riskloom.operators.scoring import make_predictions
 
 
 def test_admission_groups(spark):
@@ -76,3 +78,16 @@ def test_user_step_between_stock_steps(spark):
     mine = lambda d: d.selectExpr("*", "emergency_admission * 10 AS boosted")
     row = df.transform(features.create_admission_features).transform(mine).transform(features.create_discharge_features).first()
     assert (row.boosted, row.discharge_group) == (10, "Home")
+
+
+def test_scoring_generates_no_method_that_stays_interpreted(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    rows = spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "a double, b double")
+    try:
+        for own, expected in (("65535", "8000"), ("20000", "20000")):  # Spark's default gives way, a limit of the user's stays
+            spark.conf.set(limit, own)
+            scored = make_predictions(VectorAssembler(inputCols=["a", "b"], outputCol="v", handleInvalid="skip"), rows, include_probability=False)
+            assert spark.conf.get(limit) == expected and scored.count() == 1
+    finally:
+        spark.conf.set(limit, before)
