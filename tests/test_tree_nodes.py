@@ -112,3 +112,11 @@ def test_rows_of_a_forest_keep_their_nodes_and_the_trees_are_the_same(spark, row
     walked = make_classifier("Random Forest", **SMALL["Random Forest"], cacheNodeIds=False)
     first, second = ([t.toDebugString.split("\n", 1)[1] for t in c.fit(encoded).trees] for c in (kept, walked))
     assert first == second
+
+
+def test_walk_is_dealt_to_tasks_by_key(spark, trained, tmp_path):
+    save_model(trained["Random Forest"].model, f"{tmp_path}/model")
+    ensemble = tree_nodes.load_ensemble(spark, f"{tmp_path}/model")
+    scored = trained["Random Forest"].predictions.select("encounter_id", vector_to_array(FEATURES).alias("features"))
+    leaves = tree_nodes.reached_leaves(scored.coalesce(1), ensemble, ["encounter_id"])
+    assert leaves.groupBy(F.spark_partition_id()).count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
