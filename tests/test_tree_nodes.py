@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import layout, tree_nodes
 from riskloom.operators.training import FEATURES, importances, make_classifier, train_all_models, training_rows
 from riskloom.sources.sinks import save_model
+from riskloom.workload import registry
 
 SMALL = {"Random Forest": {"numTrees": 7, "maxDepth": 5}, "Gradient Boosted Trees": {"maxIter": 6, "maxDepth": 3}}
 NUMBERS, FLAGS, WORDS = ["a", "b"], ["f"], ["w"]
@@ -120,3 +121,17 @@ def test_walk_is_dealt_to_tasks_by_key(spark, trained, tmp_path):
     scored = trained["Random Forest"].predictions.select("encounter_id", vector_to_array(FEATURES).alias("features"))
     leaves = tree_nodes.reached_leaves(scored.coalesce(1), ensemble, ["encounter_id"])
     assert leaves.groupBy(F.spark_partition_id()).count().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_fits_prepare_from_stored_encounters(spark, small, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def seen(df):
+        raise Seen(df.inputFiles())
+
+    monkeypatch.setattr(registry, "prepare_encounters", seen)
+    with pytest.raises(Seen) as found:
+        registry._trained(spark, small, "Random Forest")
+    files = found.value.args[0]
+    assert files and all("/riskloom/encounters-" in f for f in files)
