@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import LOWER, awkward, frame, prose, roots, shingle_set
 
@@ -165,6 +166,34 @@ def expected_lines(rows, similarity=0.9, min_words=3):
     return {d: sorted(x) for d, x in out.items()}
 
 
+def test_byte_counts_tell_lines_apart_before_edit_distance():
+    rng = random.Random(19)
+    pairs = []
+    for _ in range(400):
+        a = bytes(rng.choice(b"abcdefghij 0" + bytes([195, 164])) for _ in range(rng.randrange(1, 600)))
+        b = bytearray(a)
+        for _ in range(rng.randrange(0, 1 + len(a) // 6)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = bytes(rng.choice(b"abcdefghij 0") for _ in range(rng.randrange(2)))
+        pairs.append((a, bytes(b)))
+    pairs.append((b"a" * 2000, b"b" * 2000))  # counts end at 255
+    columns = {"a": list(range(len(pairs))), "b": list(range(len(pairs)))}
+    for side, lines in zip("ab", zip(*pairs)):
+        columns[f"{side}_size"] = list(map(len, lines))
+        packed = np.frombuffer(b"".join(line_dedup.byte_counts(np.frombuffer(x, np.uint8)) for x in lines), np.int64).reshape(-1, 4)
+        columns |= {f"{side}_c{i}": x for i, x in enumerate(packed.T)}
+    counts = [np.stack([columns[f"{side}_c{i}"] for i in range(4)], axis=1).view(np.uint8) for side in "ab"]
+    least = line_dedup.fewest_edits(*counts)
+    kept = {i for batch in line_dedup._may_be_alike(0.9)(iter([pa.RecordBatch.from_pydict(columns)])) for i in batch.column("a").to_pylist()}
+    dropped = 0
+    for i, (a, b) in enumerate(pairs):
+        d = line_dedup.edit_distance(a, b)
+        assert least[i] <= d
+        assert i in kept or d > line_dedup.most_edits(max(len(a), len(b)), 0.9)
+        dropped += i not in kept
+    assert dropped and len(pairs) - 1 not in kept
+
+
 def test_lines_equal_brute_force(spark):
     long = prose(21, 80)
     rows = [(d, t) for d, t in awkward() if d != 50]
