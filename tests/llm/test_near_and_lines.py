@@ -306,3 +306,23 @@ def test_stage_drops_repeats_of_short_lines_and_of_scripts_without_spaces(spark)
     rows = [(1, f"Menu\nHome page\n{chinese}\n--\n\nMenu"), (2, f"menu\nhome  PAGE!\n{chinese}\n--\n\nother"), (3, chinese.replace("公", "花") + "\nMenus")]
     after = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, frame(spark, rows), "").collect()}
     assert after == {1: f"Menu\nHome page\n{chinese}\n--\n", 2: "--\n\nother", 3: "Menus"}
+
+
+def test_pairs_are_compared_together_as_one_by_one():
+    rnd = random.Random(17)
+    pairs = []
+    for _ in range(1500):
+        x = bytes(rnd.choice(b"abcd \xc3") for _ in range(rnd.choice((1, 9, 40, 63, 64, 65, 130, 700, 3000))))
+        y = bytearray(x)
+        for _ in range(rnd.randrange(len(x) // 6 + 2)):
+            at = rnd.randrange(len(y) + 1)
+            y[at : at + rnd.randrange(2)] = bytes(rnd.choice(b"abcd ") for _ in range(rnd.randrange(2)))
+        pairs.append((x, bytes(y)) if rnd.random() < 0.5 else (bytes(y), x))
+    pairs += [(b"", b""), (b"", b"abc"), (b"abc" * 9, b"xyz" * 9), (b"a\x00b" * 20, b"a\x00\x01" * 20)]
+    x, y = (pa.array(side, pa.binary()) for side in zip(*pairs))
+    for similarity in (0.9, 0.8, 0.5):
+        most = [line_dedup.most_edits(max(len(a), len(b)), similarity) for a, b in pairs]
+        found = line_dedup.within_all(x, y, np.array(most))
+        assert found.tolist() == [line_dedup.edit_distance(a, b) <= m for (a, b), m in zip(pairs, most)]
+        part = line_dedup.within_all(x.slice(100, 300), y.slice(100, 300), np.array(most[100:400]), cells=1 << 12)
+        assert part.tolist() == found[100:400].tolist()
