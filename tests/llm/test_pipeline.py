@@ -1,11 +1,13 @@
 import corpus_pipeline
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from helpers import prose, roots, shingle_set
 from test_near_and_lines import expected_lines
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm import decontamination
+from riskloom.llm import decontamination, tables
 from riskloom.llm.queries import ORACLES, QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -108,3 +110,25 @@ def test_queries_are_registered():
     known = __spark_entry__.queries()
     assert known["pipeline"] is corpus_pipeline.run and set(QUERIES) <= set(known)
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
+
+
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    def sizes(docs, path):
+        return docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"doc_id": [0], "n_tokens": [b.num_rows], "ids": ["0"]}) for b in batches), "doc_id long, n_tokens long, ids string")
+
+    monkeypatch.setattr(corpus_pipeline, "encoded", sizes)
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text")).coalesce(1)
+    before = spark.conf.get(tables.BATCH)
+    try:
+        spark.conf.unset(tables.BATCH)
+        found = [r.n_tokens for r in corpus_pipeline.encoding_stage(spark, docs, "").collect()]
+        assert sum(found) == 2000 and max(found) <= 500
+        with tables.narrow_batches(spark):
+            assert spark.conf.get(tables.BATCH) == tables.SPARK_BATCH_ROWS
+        assert spark.conf.get(tables.BATCH) == tables.TEXT_BATCH_ROWS
+        spark.conf.set(tables.BATCH, "77")
+        tables.text_batches(spark)
+        with tables.narrow_batches(spark):
+            assert spark.conf.get(tables.BATCH) == "77"
+    finally:
+        spark.conf.set(tables.BATCH, before)
