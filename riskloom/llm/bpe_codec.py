@@ -161,11 +161,11 @@ def _coded(path: str, texts: bool):
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids (decimal, joined by commas), decoded (the text the ids give)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(_coded(path, True), "doc_id long, n_tokens long, ids string, decoded string")
+    return texts.mapInArrow(tb.freeing(_coded(path, True)), "doc_id long, n_tokens long, ids string, decoded string")
 
 
 def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
     """As :func:`encoded`, with SHA-256 of ids and decoded text made where they are, in the tasks."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = texts.mapInArrow(_coded(path, False), "doc_id long, n_tokens long, ids string, decoded string")
+    out = texts.mapInArrow(tb.freeing(_coded(path, False)), "doc_id long, n_tokens long, ids string, decoded string")
     return out.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import textbytes as tb
 from riskloom.llm.tables import Scratch, components
 
 BLOCK, BLOCK_BYTES = 512, 128 << 20
@@ -82,7 +83,7 @@ def _verified(cells: DataFrame, payload: DataFrame, verify: Verify) -> DataFrame
         yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     dealt = cells.join(payload, "node").select("cell", "node", "payload").repartition("cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(links, "a long, b long")
+    return dealt.mapInArrow(tb.freeing(links), "a long, b long")
 
 
 def _parts(block: int) -> Column:

@@ -142,6 +142,6 @@ def contained_items(docs: DataFrame, items: DataFrame, share: float = 0.8, width
         block = asked.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toPandas()
         ids = [None if x is None or x != x else int(x) for x in block["item_id"]]
         index = spark.sparkContext.broadcast(ItemIndex(ids, block["text"].tolist(), width))
-        part = texts.mapInArrow(_search(index, share), "doc_id long, item_id long, n_item long, n_shared long")
+        part = texts.mapInArrow(tb.freeing(_search(index, share)), "doc_id long, item_id long, n_item long, n_shared long")
         found = part if found is None else found.unionByName(part)
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))

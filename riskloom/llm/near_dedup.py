@@ -158,7 +158,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (8
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.withColumn("mark", F.xxhash64("text"))  # tells texts under one doc_id apart
     schema = "doc_id long, mark long, n_shingles long, print_a long, print_b long, bands array<long>"
-    sketched = scratch.store(texts.mapInArrow(_sketched(width, bands, rows), schema))
+    sketched = scratch.store(texts.mapInArrow(tb.freeing(_sketched(width, bands, rows)), schema))
     full = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = full.groupBy("print_a", "print_b").agg(F.min(F.struct("doc_id", "mark")).alias("rep"))
     classes = scratch.store(classes.withColumn("node", F.monotonically_increasing_id()))
@@ -178,7 +178,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (8
         wanted = nodes.join(classes, "node").select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.mark").alias("rep_mark"))
         wanted = scratch.store(wanted)
         found = texts.join(small(wanted), (F.col("doc_id") == F.col("rep_id")) & (F.col("mark") == F.col("rep_mark"))).select("node", "text")
-        return once(found).mapInArrow(_set_payload(width), "node long, payload binary")
+        return once(found).mapInArrow(tb.freeing(_set_payload(width)), "node long, payload binary")
 
     linked = linked_components(scratch, stars, payload_of, jaccard_links(share))
     lowest = belongs.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").drop("high")

@@ -347,7 +347,7 @@ def _scored(model):
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted for every row; the model (some 100 KB) is broadcast."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model)), "doc_id long, score double, predicted int")
+    return texts.mapInArrow(tb.freeing(_scored(docs.sparkSession.sparkContext.broadcast(model))), "doc_id long, score double, predicted int")
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
@@ -360,4 +360,4 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
             for part in tb.steps(batch, "text", 1 << 19):
                 yield part.filter(pa.array(fitted.scores(fitted.margins(part.column("text"))) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tb.freeing(run), docs.schema)

@@ -326,3 +326,51 @@ def test_pairs_are_compared_together_as_one_by_one():
         assert found.tolist() == [line_dedup.edit_distance(a, b) <= m for (a, b), m in zip(pairs, most)]
         part = line_dedup.within_all(x.slice(100, 300), y.slice(100, 300), np.array(most[100:400]), cells=1 << 12)
         assert part.tolist() == found[100:400].tolist()
+
+
+def test_packed_entries_give_all_close_pairs_of_a_band(monkeypatch):
+    rnd = np.random.default_rng(8)
+    base = rnd.integers(0, 256, (30, line_dedup.COORDS)).astype(np.uint8)
+    sketch = base[rnd.integers(0, 30, 400)]
+    sketch[rnd.random(sketch.shape) < 0.3] = 7
+    node, size = rnd.permutation(400) * 3 + 5, rnd.integers(100, 125, 400).astype(np.int32)
+    step, part = rnd.integers(20, 22, 400), np.where(rnd.random(400) < 0.5, node, 5)
+    columns = {"node": node, **dict(zip(line_dedup._SKETCH, np.ascontiguousarray(sketch).view(np.int64).T)), "step": step, "size": size, "part": part}
+    rows = pa.table({k: np.ascontiguousarray(v) for k, v in columns.items()})
+    monkeypatch.setattr(line_dedup, "HELD_BYTES", 150 * 4 * line_dedup._ENTRY.itemsize)
+    packed = pa.Table.from_batches(list(line_dedup._banded(range(4), 16)(iter(rows.to_batches(max_chunksize=60))))).sort_by("bucket")
+    assert packed.num_rows < 4 * 400 / 10
+    found = set()
+    for batch in line_dedup._bucket_pairs(0.9, True)(iter(packed.to_batches(max_chunksize=5))):
+        found |= set(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
+    keys = np.stack([line_dedup._band_keys(sketch, step, i) for i in range(4)], axis=1)
+    wanted = set()
+    for i in range(400):
+        for j in range(i + 1, 400):
+            fits = abs(int(size[i]) - int(size[j])) <= line_dedup.most_edits(max(size[i], size[j]), 0.9)
+            if fits and part[i] != part[j] and (keys[i] == keys[j]).any() and (sketch[i] == sketch[j]).sum() >= line_dedup.AGREE:
+                wanted.add((min(node[i], node[j]), max(node[i], node[j])))
+    assert found == wanted and len(wanted) > 100
+
+
+def test_lines_of_candidates_move_in_turns(spark, monkeypatch):
+    rows, turns = [(d, t) for d, t in awkward() if d not in (50, None)] + [(100 + k, "the same long line of many documents, number abc" + "xyz"[k % 3] * (1 + k % 4)) for k in range(40)], []
+    alike = line_dedup._alike
+    monkeypatch.setattr(line_dedup, "_alike", lambda similarity: turns.append(similarity) or alike(similarity))
+    once = {r.doc_id: r.removed for r in line_dedup.repeated_lines(frame(spark, rows)).collect()}
+    before = len(turns)
+    monkeypatch.setattr(line_dedup, "MOVED_BYTES", 1)
+    monkeypatch.setattr(line_dedup, "MOVED_SHARE", 0.05)
+    again = {r.doc_id: r.removed for r in line_dedup.repeated_lines(frame(spark, rows)).collect()}
+    assert again == once and before == 2 and len(turns) > before + 3
+
+
+def test_pairs_of_many_batches_are_compared_together(monkeypatch):
+    lines = [f"line number {'abcdefghij'[k % 10] * 3} of a text".encode() for k in range(200)]
+    rows = pa.table({"a": range(200), "b": range(200, 400), "x": pa.array(lines, pa.binary()), "y": pa.array(lines[1:] + lines[:1], pa.binary())})
+    calls, within_all = [], line_dedup.within_all
+    monkeypatch.setattr(line_dedup, "within_all", lambda x, y, most: calls.append(len(x)) or within_all(x, y, most))
+    found = pa.Table.from_batches(list(line_dedup._alike(0.9)(iter(rows.to_batches(max_chunksize=7)))))
+    assert calls == [200]
+    longer = max(map(len, lines))
+    assert found.column("a").to_pylist() == [k for k in range(200) if line_dedup.edit_distance(lines[k], lines[(k + 1) % 200]) <= line_dedup.most_edits(longer, 0.9)]
