@@ -353,16 +353,16 @@ def test_packed_entries_give_all_close_pairs_of_a_band(monkeypatch):
     assert found == wanted and len(wanted) > 100
 
 
-def test_lines_of_candidates_move_in_turns(spark, monkeypatch):
-    rows, turns = [(d, t) for d, t in awkward() if d not in (50, None)] + [(100 + k, "the same long line of many documents, number abc" + "xyz"[k % 3] * (1 + k % 4)) for k in range(40)], []
-    alike = line_dedup._alike
-    monkeypatch.setattr(line_dedup, "_alike", lambda similarity: turns.append(similarity) or alike(similarity))
-    once = {r.doc_id: r.removed for r in line_dedup.repeated_lines(frame(spark, rows)).collect()}
-    before = len(turns)
+def test_candidates_move_in_turns(spark, monkeypatch):
+    lines = [f"the same long line of many documents, number {'abcdefgh'[k % 8] * 3}" + "xyz"[k % 3] * (k % 4) for k in range(60)]
+    rows, stored, store = [(k, f"{x}\nown {'qwertz'[k % 6] * 40}") for k, x in enumerate(lines)], [], line_dedup.Scratch.store
+    monkeypatch.setattr(line_dedup.Scratch, "store", lambda self, df: stored.append(df.columns) or store(self, df))
+    once = {r.doc_id: r.removed for r in line_dedup.repeated_lines(frame(spark, rows), min_words=1).collect()}
+    before = len(stored)
     monkeypatch.setattr(line_dedup, "MOVED_BYTES", 1)
-    monkeypatch.setattr(line_dedup, "MOVED_SHARE", 0.05)
-    again = {r.doc_id: r.removed for r in line_dedup.repeated_lines(frame(spark, rows)).collect()}
-    assert again == once and before == 2 and len(turns) > before + 3
+    monkeypatch.setattr(line_dedup, "MOVED_SHARE", 1.0)
+    again = {r.doc_id: r.removed for r in line_dedup.repeated_lines(frame(spark, rows), min_words=1).collect()}
+    assert again == once == levenshtein_lines(rows, 1) and len(stored) >= before + 3
 
 
 def test_pairs_of_many_batches_are_compared_together(monkeypatch):
