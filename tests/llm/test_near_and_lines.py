@@ -374,3 +374,13 @@ def test_pairs_of_many_batches_are_compared_together(monkeypatch):
     assert calls == [200]
     longer = max(map(len, lines))
     assert found.column("a").to_pylist() == [k for k in range(200) if line_dedup.edit_distance(lines[k], lines[(k + 1) % 200]) <= line_dedup.most_edits(longer, 0.9)]
+
+
+def test_workers_give_memory_back_after_much_data(monkeypatch):
+    from riskloom.llm import textbytes
+
+    trims, batch = [], pa.RecordBatch.from_pydict({"x": np.arange(1000)})
+    monkeypatch.setattr(textbytes, "_trim", lambda: trims.append)
+    assert [b.num_rows for b in textbytes.freeing(lambda batches: batches)(iter([batch, batch]))] == [1000, 1000] and trims == []
+    monkeypatch.setattr(textbytes, "FREED_BYTES", 2 * batch.nbytes)
+    assert len(list(textbytes.freeing(lambda batches: (b for b in batches))(iter([batch, batch])))) == 2 and trims == [0]
